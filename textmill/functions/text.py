@@ -68,15 +68,15 @@ def is_ascii(c) -> Column:
     return F.octet_length(c) == F.char_length(c)
 
 
-@F.pandas_udf("string")
-def _nfkc(texts: pd.Series) -> pd.Series:
+def _nfkc_batch(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
 
 
 def nfkc(c) -> Column:
     """Unicode NFKC. ASCII text is its own NFKC form, so only other rows carry text to Python."""
     c = c if isinstance(c, Column) else F.col(c)
-    return F.coalesce(_nfkc(F.when(~is_ascii(c), c)), c)
+    normalise = F.pandas_udf(_nfkc_batch, "string")
+    return F.coalesce(normalise(F.when(~is_ascii(c), c)), c)
 
 
 def pre_split(c) -> Column:

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textmill.functions.text import byte_text, coalesce_text, nfkc, pre_split
+from textmill.operators.order import spread
 from textmill.sources.tables import Vocabulary
 from textmill.storage import drop_path, stage_path, stage_table
 
@@ -39,7 +40,7 @@ ADDED_SCHEMA = (
 )
 
 CANDIDATES = 20_000
-ROUNDS_PER_STAGE = 16
+ROUNDS_PER_STAGE = 20
 
 
 def printable_byte(b: int) -> str:
@@ -102,15 +103,20 @@ def word_symbols(words: DataFrame) -> DataFrame:
     return words.select(F.translate(byte_text("word"), latin, marks).alias("symbols"), "freq")
 
 
-def _pairs(symbols: Column) -> Column:
-    chars = F.split(symbols, "")
+def _with_chars(symbol_words: DataFrame) -> DataFrame:
+    return symbol_words.withColumn("chars", F.split("symbols", ""))
+
+
+def _pairs(chars: Column) -> Column:
     n = F.greatest(F.size(chars) - 1, F.lit(0))
-    return F.zip_with(F.slice(chars, F.lit(1), n), F.slice(chars, F.lit(2), n), lambda a, b: F.concat(a, b))
+    return F.zip_with(
+        F.slice(chars, F.lit(1), n), F.slice(chars, F.lit(2), n), lambda a, b: F.concat(a, b)
+    )
 
 
 def pair_freq(symbol_words: DataFrame) -> DataFrame:
     """``pair, n``: adjacent symbol pairs weighted by word frequency."""
-    pairs = symbol_words.select(F.explode(_pairs(F.col("symbols"))).alias("pair"), "freq")
+    pairs = _with_chars(symbol_words).select(F.explode(_pairs(F.col("chars"))).alias("pair"), "freq")
     return pairs.groupBy("pair").agg(F.sum("freq").alias("n"))
 
 
@@ -250,27 +256,29 @@ def _top_pairs(words: DataFrame, trainer: _Trainer, limit: int):
     return rows, len(rows) < limit
 
 
-def _deltas(words: DataFrame, pending, batch, trainer: _Trainer):
-    """Changes of pair counts caused by ``batch``, from the words that hold one of its pairs."""
-    state = words.select(_replace_all(F.col("symbols"), pending).alias("symbols"), "freq")
-    changed = state.filter(_any([F.contains("symbols", F.lit(pair)) for pair, _ in batch]))
-    before = F.transform(
-        _pairs(F.col("symbols")),
-        lambda p: F.struct(p.alias("pair"), (-F.col("freq")).alias("delta")),
-    )
-    after = F.transform(
-        _pairs(_replace_all(F.col("symbols"), batch)),
-        lambda p: F.struct(p.alias("pair"), F.col("freq").alias("delta")),
+def _deltas(words: DataFrame, batch: list[tuple[str, str]], trainer: _Trainer):
+    """Changes of pair counts caused by ``batch``, from the words that hold one of its pairs.
+
+    Only pairs with a symbol of the batch can change, so the others are dropped before counting.
+    """
+    changed = words.filter(_any([F.contains("symbols", F.lit(pair)) for pair, _ in batch]))
+    old = F.struct(F.split("symbols", "").alias("chars"), (-F.col("freq")).alias("delta"))
+    merged = F.split(_replace_all(F.col("symbols"), batch), "")
+    new = F.struct(merged.alias("chars"), F.col("freq").alias("delta"))
+    sides = changed.select(F.explode(F.array(old, new)).alias("side"))
+    pairs = sides.select(
+        F.explode(_pairs(F.col("side.chars"))).alias("pair"), F.col("side.delta").alias("delta")
     )
-    fresh = _any([F.contains("pair", F.lit(new)) for _, new in batch])
+    involved = "".join(sorted({c for pair, made in batch for c in pair + made}))
+    fresh = _any([F.contains("pair", F.lit(made)) for _, made in batch])
     kept = fresh & (F.col("delta") >= max(trainer.min_freq, -trainer.limit[0]))
     touched = trainer.touched(batch)
     if touched:
         kept = kept | _listed(F.col("pair"), touched)
     return (
-        changed.select(F.explode(F.concat(before, after)).alias("d"))
-        .groupBy(F.col("d.pair").alias("pair"))
-        .agg(F.sum("d.delta").alias("delta"))
+        pairs.filter(F.translate("pair", involved, "") != F.col("pair"))
+        .groupBy("pair")
+        .agg(F.sum("delta").alias("delta"))
         .filter((F.col("delta") != 0) & kept)
         .collect()
     )
@@ -285,23 +293,18 @@ def train_merges(
 ) -> _Trainer:
     """Greedy merges over a ``word, freq`` table until ``symbols_wanted`` symbols exist.
 
-    The word table is staged once. A full pair count fetches the best ``candidates`` pairs; after
-    that, each round reads only the words that hold a pair of its batch and fetches the changed
-    counts. Merges since the last staging are applied on the fly and folded in every few rounds.
+    A full pair count fetches the best ``candidates`` pairs; after that, each round reads only the
+    words that hold a pair of its batch and fetches the changed counts. The word table of a round
+    is persisted while the next one is derived from it. Every few rounds it is written to the
+    shared folder, which bounds the lineage a lost executor has to repeat.
     """
     spark = words.sparkSession
     trainer = _Trainer(symbols_wanted, min_freq, max_token_length)
     path = stage_path(spark, "words")
-    words = stage_table(word_symbols(words), "words", path)
-    pending: list[tuple[str, str]] = []
+    words = spread(stage_table(word_symbols(words), "words", path), ["symbols"]).persist()
+    outdated: DataFrame | None = None
     rounds, recount = 0, True
     while not trainer.full():
-        if pending and (recount or rounds % ROUNDS_PER_STAGE == 0):
-            folded = words.select(_replace_all(F.col("symbols"), pending).alias("symbols"), "freq")
-            new_path = stage_path(spark, "words")
-            words = stage_table(folded, "words", new_path)
-            drop_path(spark, path)
-            path, pending = new_path, []
         if recount:
             rows, complete = _top_pairs(words, trainer, candidates)
             if not rows:
@@ -313,10 +316,25 @@ def train_merges(
                 break
             recount = True
             continue
-        if not recount and not trainer.full():
-            trainer.apply(batch, _deltas(words, pending, batch, trainer))
-        pending += batch
+        if trainer.full():
+            break
+        if not recount:
+            trainer.apply(batch, _deltas(words, batch, trainer))
+        if outdated is not None:  # the job above has loaded its successor
+            outdated.unpersist()
+        outdated = words
+        words = words.select(_replace_all(F.col("symbols"), batch).alias("symbols"), "freq")
         rounds += 1
+        if rounds % ROUNDS_PER_STAGE == 0:
+            old_path, path = path, stage_path(spark, "words")
+            words = spread(stage_table(words, "words", path), ["symbols"])
+            outdated.unpersist()
+            outdated = None
+            drop_path(spark, old_path)
+        words = words.persist()
+    words.unpersist()
+    if outdated is not None:
+        outdated.unpersist()
     drop_path(spark, path)
     return trainer
 

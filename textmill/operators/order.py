@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKET_ROWS = 1024
-GROUP_BUCKETS = 4096
+BUCKET_ROWS = 128
+GROUP_BUCKETS = 8192
 BUCKET = "_bucket"
 GROUP = "_group"
 
@@ -38,8 +38,8 @@ def bucket_bases(
 ) -> DataFrame:
     """``[*lead, _bucket, load, base]``: weight inside each bucket and before it.
 
-    Two levels: sums per bucket, then sums per 4,096 buckets. The only window without a partition
-    runs over the second level, which has about one row per file or per four million rows.
+    Two levels: sums per bucket, then sums per 8,192 buckets. The only window without a partition
+    runs over the second level, which has about one row per file or per million rows.
     """
     lead = order[:-1]
     buckets = (
@@ -84,6 +84,15 @@ def with_start(
     )
 
 
+def spread(df: DataFrame, order: list[str]) -> DataFrame:
+    """Spread the rows of a scan that has fewer tasks than the cluster has cores.
+
+    That is the case for a few files with few row groups; a large table is returned unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *order) if df.rdd.getNumPartitions() < cores else df
+
+
 def first_rows(
     df: DataFrame, n: int, order: list[str], bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:

@@ -47,6 +47,7 @@ def pack_wrapped(
     order: list[str],
     keep_tail: bool = False,
     columns: tuple[str, ...] = ("input_ids",),
+    tokens: Column | None = None,
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """``chunk`` and the packed columns; every list is cut at the same places.
@@ -54,9 +55,11 @@ def pack_wrapped(
     Rows move once, to their bucket, and chunks that lie inside one bucket are put together there.
     Only the pieces of the first and last chunk of a bucket move a second time. A group never
     holds more than ``sequence_len`` tokens. The short last chunk is dropped unless ``keep_tail``.
+    ``tokens`` is a stored token count; with it the pass that finds positions reads no arrays.
     """
-    size = F.size(columns[0])
-    rows = df.select(*order, *columns).filter(size > 0)
+    size = F.col("_n")
+    count = F.size(columns[0]) if tokens is None else tokens
+    rows = df.select(*order, *columns, count.cast("bigint").alias("_n")).filter("_n > 0")
     placed = with_start(rows, size, order, bucket_rows=bucket_rows)
     length = F.lit(sequence_len).cast("bigint")
     opens, closes = F.col("chunk") * length, (F.col("chunk") + 1) * length

@@ -139,9 +139,7 @@ class BpeTokenizer:
                 return ids
 
             for batch in batches:
-                encoded = [
-                    np.array(encode_one(v.as_py() or ""), dtype=np.int32) for v in batch
-                ]
+                encoded = [np.array(encode_one(v or ""), dtype=np.int32) for v in batch.to_pylist()]
                 offsets = np.zeros(len(encoded) + 1, dtype=np.int32)
                 np.cumsum([len(e) for e in encoded], out=offsets[1:])
                 values = np.concatenate(encoded) if encoded else np.zeros(0, dtype=np.int32)

@@ -57,7 +57,8 @@ def pack_staged(
     tokens: DataFrame, sequence_len: int, min_length: int, order: list[str]
 ) -> DataFrame:
     """Token gate and packing over staged tokens."""
-    return pack_wrapped(tokens.filter(F.col("n_tokens") >= min_length), sequence_len, order)
+    kept = tokens.filter(F.col("n_tokens") >= min_length)
+    return pack_wrapped(kept, sequence_len, order, tokens=F.col("n_tokens"))
 
 
 def pack_rows(

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from textmill.functions.text import text_or_null
-from textmill.operators.order import first_rows
+from textmill.operators.order import first_rows, spread
 from textmill.storage import file_system
 
 ROW_ORDER = ["file", "block", "row"]
@@ -105,7 +105,9 @@ def read_source(
         row.alias("row"),
         text_or_null(df, text_column).alias("text"),
     )
-    return slice_rows(rows, int(limit), ROW_ORDER) if limit is not None else rows
+    if limit is not None:
+        rows = slice_rows(rows, int(limit), ROW_ORDER)
+    return spread(rows, ROW_ORDER) if fmt == "parquet" else rows
 
 
 def slice_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
