@@ -299,6 +299,17 @@ pairs AS (
          unnest([ids[i + 1] FOR i IN range(1, len(ids))]) AS "right", freq FROM symbols)
 SELECT "left", "right", sum(freq)::BIGINT AS n FROM pairs GROUP BY ALL HAVING sum(freq) >= 2""",
     "train_bpe": f'WITH RECURSIVE {TRAINED} SELECT rank::INT AS rank, "left", "right", id::INT AS id FROM merges',
+    "assemble_vocab": f"""WITH RECURSIVE {TRAINED},
+spelled AS (
+  SELECT id, chr(256 + id) AS s, {MERGES} AS k
+  FROM (SELECT id::INT AS id FROM merges UNION ALL SELECT range::INT FROM range(256))
+  UNION ALL
+  SELECT p.id, replace(p.s, chr((256 + m.id)::INT), chr((256 + m."left")::INT) || chr((256 + m."right")::INT)), p.k - 1
+  FROM spelled p JOIN merges m ON m.rank = p.k - 1)
+SELECT id::INT AS id,
+  array_to_string([printf('%02X', {ALPHABET}[unicode(c) - 255]) FOR c IN string_split(s, '')], '') AS bytes_hex,
+  false AS special FROM spelled WHERE k = 0
+UNION ALL SELECT id, hex(encode(token)), special FROM (VALUES {ADDED_ROWS}) AS t(id, token, special)""",
     "vocab_stats": f"""WITH RECURSIVE {TRAINED}
 SELECT 256 + count(*) + {len(ADDED_TOKENS)} AS vocab_size,
   (256 + count(*) + {len(ADDED_TOKENS)}) % 64 = 0 AS multiple_of_64 FROM merges""",
@@ -330,9 +341,10 @@ SELECT seq_id, pos, round(min(loss) OVER (PARTITION BY seq_id), 6) AS loss_min,
     "token_text": """SELECT doc_id, substr(text, (doc_id % 7)::INT + 1, (5 + doc_id % 11)::INT) AS token
 FROM documents""",
     "uncertainty_report": f"""WITH {SHADES},
+lows AS (SELECT *, {LOW5} AS low FROM shades),
 told AS (
   SELECT *, 'tok ' || target AS token,
-    array_to_string([concat('pred ', p, ': ', {LOW5}[p]) FOR p IN range(1, 6)], chr(10)) AS info FROM shades)
+    array_to_string([concat('pred ', p, ': ', low[p]) FOR p IN range(1, 6)], chr(10)) AS info FROM lows)
 SELECT seq_id, 0::BIGINT AS part, string_agg(token, '|' ORDER BY pos) AS tokens,
   string_agg(round(loss, 5)::DECIMAL(12, 5)::VARCHAR, ',' ORDER BY pos) AS losses,
   md5(string_agg(info, '|' ORDER BY pos)) AS info_md5,

@@ -75,10 +75,16 @@ def training_text(df: DataFrame, col: str = "text") -> DataFrame:
     return df.select(coalesce_text(col).alias("text"))
 
 
+def _exploded(array: Column, name: str) -> Column:
+    """Explode an expensive array. The inner form would compute it twice: Spark adds a filter on
+    its size. Empty arrays give a null that the caller drops."""
+    return F.explode_outer(array).alias(name)
+
+
 def word_freq(df: DataFrame, col: str = "text") -> DataFrame:
     """``word, freq``: pieces of the normalised text with their counts."""
-    pieces = training_text(df, col).select(F.explode(pre_split(nfkc("text"))).alias("word"))
-    return pieces.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
+    pieces = training_text(df, col).select(_exploded(pre_split(nfkc("text")), "word"))
+    return pieces.filter("word is not null").groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
 
 
 def initial_alphabet(spark: SparkSession) -> DataFrame:
@@ -116,8 +122,8 @@ def _pairs(chars: Column) -> Column:
 
 def pair_freq(symbol_words: DataFrame) -> DataFrame:
     """``pair, n``: adjacent symbol pairs weighted by word frequency."""
-    pairs = _with_chars(symbol_words).select(F.explode(_pairs(F.col("chars"))).alias("pair"), "freq")
-    return pairs.groupBy("pair").agg(F.sum("freq").alias("n"))
+    pairs = _with_chars(symbol_words).select(_exploded(_pairs(F.col("chars")), "pair"), "freq")
+    return pairs.filter("pair is not null").groupBy("pair").agg(F.sum("freq").alias("n"))
 
 
 def pair_counts(words: DataFrame, min_freq: int = MIN_FREQUENCY) -> DataFrame:
@@ -267,7 +273,7 @@ def _deltas(words: DataFrame, batch: list[tuple[str, str]], trainer: _Trainer):
     new = F.struct(merged.alias("chars"), F.col("freq").alias("delta"))
     sides = changed.select(F.explode(F.array(old, new)).alias("side"))
     pairs = sides.select(
-        F.explode(_pairs(F.col("side.chars"))).alias("pair"), F.col("side.delta").alias("delta")
+        _exploded(_pairs(F.col("side.chars")), "pair"), F.col("side.delta").alias("delta")
     )
     involved = "".join(sorted({c for pair, made in batch for c in pair + made}))
     fresh = _any([F.contains("pair", F.lit(made)) for _, made in batch])

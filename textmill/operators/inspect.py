@@ -27,38 +27,40 @@ def explode_tokens(packed: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return tokens.join(F.broadcast(known), "id", "left").select("chunk", "pos", "id", "text", "class")
 
 
-def _segments(ids: Column, lookup: TokenLookup) -> Column:
-    """Array of ``(pos, class, ids)``: runs of non-word tokens, every other token alone.
+def _with_segments(packed: DataFrame, lookup: TokenLookup) -> DataFrame:
+    """``chunk`` and ``_segments``, an array of ``(pos, class, ids)``.
 
-    A segment starts at each token that does not continue a non-word run. The work is inside the
-    row, so a packed table of any size is cut without a shuffle.
+    Runs of non-word tokens form one segment, every other token stands alone. A segment starts at
+    each token that does not continue a run. All of it happens inside the row, so a packed table
+    of any size is cut without a shuffle. Each step is a column of its own, because an expression
+    inside a lambda is evaluated once per element.
     """
-    classes = F.transform(ids, lambda i: lookup.class_of(i))
     plain = F.lit("non_word")
-    starts = F.filter(
-        F.sequence(F.lit(1), F.size(ids)),
-        lambda i: ~(
-            (i > 1)
-            & F.coalesce(F.get(classes, i - 1) == plain, F.lit(False))
-            & F.coalesce(F.get(classes, i - 2) == plain, F.lit(False))
-        ),
-    )
-    ends = F.concat(F.slice(starts, F.lit(2), F.size(starts) - 1), F.array(F.size(ids) + 1))
+
+    def continues(i: Column) -> Column:
+        return (i > 0) & (F.get("_classes", i) == plain) & (F.get("_classes", i - 1) == plain)
+
+    ids = F.col("input_ids")
+    classes = F.transform(ids, lambda i: F.coalesce(lookup.class_of(i), plain))
+    starts = F.filter(F.sequence(F.lit(0), F.size(ids) - 1), lambda i: ~F.coalesce(continues(i), F.lit(False)))
+    ends = F.concat(F.slice("_starts", F.lit(2), F.size("_starts") - 1), F.array(F.size(ids)))
     segments = F.zip_with(
-        starts,
-        ends,
+        "_starts",
+        "_ends",
         lambda a, b: F.struct(
-            (a - 1).alias("pos"),
-            F.get(classes, a - 1).alias("class"),
-            F.slice(ids, a, b - a).alias("ids"),
+            a.alias("pos"),
+            F.get("_classes", a).alias("class"),
+            F.slice(ids, a + 1, b - a).alias("ids"),
         ),
     )
-    return F.when(F.size(ids) > 0, segments).otherwise(F.slice(segments, 1, 0))
-
-
-def _with_segments(packed: DataFrame, lookup: TokenLookup) -> DataFrame:
-    filled = packed.filter(F.size("input_ids") > 0)
-    return filled.select("chunk", _segments(F.col("input_ids"), lookup).alias("_segments"))
+    return (
+        packed.select("chunk", "input_ids")
+        .filter(F.size("input_ids") > 0)
+        .withColumn("_classes", classes)
+        .withColumn("_starts", starts)
+        .withColumn("_ends", ends)
+        .select("chunk", segments.alias("_segments"))
+    )
 
 
 def token_segments(packed: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -66,7 +68,8 @@ def token_segments(packed: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     lookup = TokenLookup(vocabulary)
     return (
         _with_segments(packed, lookup)
-        .select("chunk", F.posexplode("_segments").alias("segment", "s"))
+        # not the inner form: it would test the size of the array a second time, below the steps
+        .select("chunk", F.posexplode_outer("_segments").alias("segment", "s"))
         .select(
             "chunk",
             "segment",

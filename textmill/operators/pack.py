@@ -12,7 +12,7 @@ def _fragments(placed: DataFrame, size: Column, sequence_len: int) -> DataFrame:
     length = F.lit(sequence_len).cast("bigint")
     first = F.call_function("div", F.col("start"), length)
     last = F.call_function("div", F.col("start") + size - 1, length)
-    cut = placed.withColumn("chunk", F.explode(F.sequence(first, last)))
+    cut = placed.withColumn("chunk", F.explode_outer(F.sequence(first, last)))
     return cut.withColumn("lo", F.greatest("start", F.col("chunk") * length)).withColumn(
         "hi", F.least(F.col("start") + size, (F.col("chunk") + 1) * length)
     )
