@@ -483,13 +483,13 @@ def map_rows(spark, sf):
 
 def map_batches(spark, sf):
     def price(rows):
-        net = rows["l_extendedprice"] * (1 - rows["l_discount"])
-        return rows.assign(net=net.round(2))[["l_orderkey", "l_linenumber", "net"]]
+        cents = rows["l_extendedprice"] * (1 - rows["l_discount"]) * 100
+        return rows.assign(cents=cents // 1)[["l_orderkey", "l_linenumber", "cents"]]
 
     lines = _table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount")
-    priced = udf.map_batches(lines, price, "l_orderkey bigint, l_linenumber int, net double")
+    priced = udf.map_batches(lines, price, "l_orderkey bigint, l_linenumber int, cents bigint")
     return priced.groupBy("l_linenumber").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("net"), 0).alias("net")
+        F.count(F.lit(1)).alias("n_rows"), F.sum("cents").alias("cents")
     )
 
 

@@ -351,6 +351,6 @@ SELECT seq_id, 0::BIGINT AS part, string_agg(token, '|' ORDER BY pos) AS tokens,
   string_agg(token || '[' || loss_shade || ']', '' ORDER BY pos) AS loss_line FROM told GROUP BY seq_id""",
     "map_rows": """SELECT doc_id, upper(lang) AS lang, len(string_split(text, ' '))::INT AS n_words FROM documents""",
     "map_batches": """SELECT l_linenumber, count(*) AS n_rows,
-  round(sum(round(l_extendedprice * (1 - l_discount), 2)), 0) AS net FROM lineitem GROUP BY l_linenumber""",
+  sum(floor(l_extendedprice * (1 - l_discount) * 100)::BIGINT)::BIGINT AS cents FROM lineitem GROUP BY l_linenumber""",
     "filter_rows": "SELECT doc_id FROM documents WHERE lang = 'en' AND contains(text, 'the')",
 }

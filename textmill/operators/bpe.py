@@ -228,6 +228,15 @@ def _replace_all(symbols: Column, merges: list[tuple[str, str]]) -> Column:
     return reduce(lambda c, m: F.replace(c, F.lit(m[0]), F.lit(m[1])), merges, symbols)
 
 
+def _merged(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+    """The words after ``merges``. The one-element explode keeps the optimizer from copying the
+    chain of replacements into every later expression that reads the column."""
+    if not merges:
+        return words
+    chain = F.array(_replace_all(F.col("symbols"), merges))
+    return words.select(F.explode(chain).alias("symbols"), "freq")
+
+
 def _any(conditions: list[Column]) -> Column:
     return reduce(Column.__or__, conditions)
 
@@ -300,19 +309,29 @@ def train_merges(
     """Greedy merges over a ``word, freq`` table until ``symbols_wanted`` symbols exist.
 
     A full pair count fetches the best ``candidates`` pairs; after that, each round reads only the
-    words that hold a pair of its batch and fetches the changed counts. The word table of a round
-    is persisted while the next one is derived from it. Every few rounds it is written to the
-    shared folder, which bounds the lineage a lost executor has to repeat.
+    words that hold a pair of its batch and fetches the changed counts. Merges are applied on the
+    fly to the persisted word table; every few rounds, and before each full count, the result is
+    written to the shared folder and replaces it.
     """
     spark = words.sparkSession
     trainer = _Trainer(symbols_wanted, min_freq, max_token_length)
-    path = stage_path(spark, "words")
-    words = spread(stage_table(word_symbols(words), "words", path), ["symbols"]).persist()
-    outdated: DataFrame | None = None
+
+    def staged(table: DataFrame) -> tuple[str, DataFrame]:
+        path = stage_path(spark, "words")
+        return path, spread(stage_table(table, "words", path), ["symbols"]).persist()
+
+    path, base = staged(word_symbols(words))
+    pending: list[tuple[str, str]] = []
     rounds, recount = 0, True
     while not trainer.full():
+        if pending and (recount or rounds == ROUNDS_PER_STAGE):
+            old_path, old_base = path, base
+            path, base = staged(_merged(base, pending))
+            old_base.unpersist()
+            drop_path(spark, old_path)
+            pending, rounds = [], 0
         if recount:
-            rows, complete = _top_pairs(words, trainer, candidates)
+            rows, complete = _top_pairs(base, trainer, candidates)
             if not rows:
                 break
             trainer.load(rows, complete)
@@ -322,25 +341,11 @@ def train_merges(
                 break
             recount = True
             continue
-        if trainer.full():
-            break
-        if not recount:
-            trainer.apply(batch, _deltas(words, batch, trainer))
-        if outdated is not None:  # the job above has loaded its successor
-            outdated.unpersist()
-        outdated = words
-        words = words.select(_replace_all(F.col("symbols"), batch).alias("symbols"), "freq")
+        if not recount and not trainer.full():
+            trainer.apply(batch, _deltas(_merged(base, pending), batch, trainer))
+        pending += batch
         rounds += 1
-        if rounds % ROUNDS_PER_STAGE == 0:
-            old_path, path = path, stage_path(spark, "words")
-            words = spread(stage_table(words, "words", path), ["symbols"])
-            outdated.unpersist()
-            outdated = None
-            drop_path(spark, old_path)
-        words = words.persist()
-    words.unpersist()
-    if outdated is not None:
-        outdated.unpersist()
+    base.unpersist()
     drop_path(spark, path)
     return trainer
 
