@@ -7,7 +7,8 @@ without overlap, and pair keys are two-character strings whose order is the orde
 
 from __future__ import annotations
 
-from functools import reduce
+from collections import defaultdict
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -40,7 +41,7 @@ ADDED_SCHEMA = (
 )
 
 CANDIDATES = 20_000
-ROUNDS_PER_STAGE = 20
+MERGES_PER_STAGE = 64
 
 
 def printable_byte(b: int) -> str:
@@ -65,11 +66,6 @@ def symbol_char(i: int) -> str:
     return chr(code if code < 0xD800 else code + 0x800)
 
 
-def symbol_id(char: str) -> int:
-    code = ord(char)
-    return code - 0x100 if code < 0xD800 else code - 0x900
-
-
 def training_text(df: DataFrame, col: str = "text") -> DataFrame:
     """The text column, null as ""."""
     return df.select(coalesce_text(col).alias("text"))
@@ -144,88 +140,166 @@ def pair_counts(words: DataFrame, min_freq: int = MIN_FREQUENCY) -> DataFrame:
     )
 
 
-class _Trainer:
-    """Driver side of the merge loop.
+class MergeOrder:
+    """Driver side of the merge loop: best pairs, applied merges, vocabulary.
 
-    Holds the vocabulary under construction and the best pairs. ``best`` has the exact count of
-    every pair that ranks at or before ``limit``; all other pairs rank after it. Counts of known
-    pairs only fall, and pairs with a new symbol arrive with their exact count, so this stays true
+    ``best`` has the exact count of every pair that is more frequent than ``floor``. Counts of known
+    pairs only fall and pairs with a new symbol arrive with their exact count, so this stays true
     from one full count to the next.
+
+    A pair may be merged at once if it ranks before every other pair that shares a symbol with it.
+    Nothing can then change its count before its turn: merges of pairs that share no symbol leave
+    it alone, and a new pair (uv, s) is at most as frequent as (v, s), which ranks after it. Many
+    such merges run in one round and are *applied*; they get their place and id (are *settled*) once
+    every more frequent pair has been merged. The sequence is that of one merge at a time.
+
+    The exception is a merge that spells a token that exists already, since it raises counts. It
+    runs alone, in its turn; merges applied ahead of it are taken back first.
     """
 
     def __init__(self, vocab_size: int, min_freq: int, max_bytes: int):
+        self.vocab_size, self.min_freq, self.max_bytes = vocab_size, min_freq, max_bytes
         self.tokens = [bytes([b]) for b in ALPHABET]
-        self.ids = {t: i for i, t in enumerate(self.tokens)}
         self.merges: list[tuple[int, int, int]] = []
-        self.vocab_size, self.min_freq, self.max_bytes = vocab_size, min_freq, max_bytes
+        self.replayed: list[tuple[str, str]] = []  # settled merges as replacements
+        self.bytes_of = {symbol_char(i): t for i, t in enumerate(self.tokens)}
+        self.char_of = {t: c for c, t in self.bytes_of.items()}
+        self.id_of = {symbol_char(i): i for i in range(len(self.tokens))}
+        self.made = len(self.tokens)
+        self.applied: dict[str, tuple[int, str]] = {}
         self.best: dict[str, int] = {}
-        self.limit: tuple[int, str] = (0, "")
+        self.floor, self.complete = 0, False
 
     def joined(self, pair: str) -> bytes:
-        return self.tokens[symbol_id(pair[0])] + self.tokens[symbol_id(pair[1])]
+        return self.bytes_of[pair[0]] + self.bytes_of[pair[1]]
 
     def full(self) -> bool:
         return len(self.tokens) >= self.vocab_size
 
-    def load(self, rows, complete: bool) -> None:
-        self.best = {r.pair: r.n for r in rows}
-        self.limit = (-self.min_freq, chr(0x10FFFF)) if complete else (-rows[-1].n, rows[-1].pair)
+    def load(self, rows, complete: bool) -> bool:
+        """Take a full count; False if all of a cut-off list ties, so a longer one is needed."""
+        self.complete = complete
+        self.floor = self.min_freq - 1 if complete else rows[-1].n
+        self.best = {r.pair: r.n for r in rows if r.n > self.floor}
+        return complete or bool(self.best)
 
     def wanted(self, pair: str, n: int) -> bool:
-        return (
-            n >= self.min_freq
-            and (-n, pair) <= self.limit
-            and len(self.joined(pair)) <= self.max_bytes
-        )
+        return n > self.floor and len(self.joined(pair)) <= self.max_bytes
+
+    def settled(self, pair: str) -> bool:
+        return all(c in self.id_of for c in pair)
+
+    def ids(self, pair: str) -> tuple[int, ...]:
+        return tuple(self.id_of[c] for c in pair)
+
+    def precedes(self, p: str, q: str) -> bool:
+        """Whether ``p`` certainly comes before the equally frequent ``q``; open ids are larger."""
+        for a, b in zip(p, q):
+            if a != b:
+                return a in self.id_of and (b not in self.id_of or self.id_of[a] < self.id_of[b])
+        return False
+
+    def ranked(self) -> list[str]:
+        return sorted(self.best, key=lambda p: -self.best[p])
+
+    def settle(self) -> None:
+        """Give applied merges their ids as long as no open pair ranks before them."""
+        ranked = self.ranked()
+        level = [p for p in ranked if self.best[p] == self.best[ranked[0]]]
+        while self.applied and not self.full():
+            ready = [p for p in self.applied if self.settled(p)]
+            key, first = min((-self.applied[p][0], self.ids(p), p) for p in ready)[0::2]
+            rivals = [(-self.best[q], self.ids(q)) for q in level if self.settled(q)]
+            if rivals and min(rivals) < (key, self.ids(first)):
+                return
+            _, made = self.applied.pop(first)
+            self.id_of[made] = len(self.tokens)
+            self.tokens.append(self.bytes_of[made])
+            self._record(first, made)
+
+    def _record(self, pair: str, made: str) -> None:
+        self.merges.append((*self.ids(pair), self.id_of[made]))
+        self.replayed.append((pair, made))
+
+    def take_back(self) -> None:
+        """Forget the merges that are applied but not settled."""
+        for _, made in self.applied.values():
+            del self.char_of[self.bytes_of.pop(made)]
+        self.applied = {}
 
     def next_batch(self) -> tuple[list[tuple[str, str]], bool]:
-        """Merges that may run together, and whether a full count must follow.
-
-        Pairs are taken from the top while they share no symbol. A new pair (x, ab) is at most as
-        frequent as (x, a), which shares a symbol with (a, b), so it cannot rank before a later
-        member of the batch. That bound fails after a self pair and after a merge that spells an
-        existing token, so the batch ends there.
-        """
-        ranked = sorted((-n, pair) for pair, n in self.best.items() if self.wanted(pair, n))
-        batch: list[tuple[str, str]] = []
-        used: set[str] = set()
-        for _, pair in ranked:
-            if self.full() or used & set(pair):
+        """Merges that may run now, and whether they raise counts. An empty batch with True means
+        that the applied merges have to be taken back."""
+        budget = self.vocab_size - len(self.tokens)
+        chosen: list[str] = []
+        blocked: set[str] = set()
+        spelled = set(self.char_of)
+        seen = 0
+        for n, group in groupby(self.ranked(), key=lambda p: self.best[p]):
+            if seen >= budget:
                 break
-            joined = self.joined(pair)
-            known = joined in self.ids
-            if not known:
-                self.ids[joined] = len(self.tokens)
-                self.tokens.append(joined)
-            new = self.ids[joined]
-            self.merges.append((symbol_id(pair[0]), symbol_id(pair[1]), new))
-            batch.append((pair, symbol_char(new)))
-            used |= set(pair)
-            if known:
-                return batch, True
-            if pair[0] == pair[1]:
+            pairs = list(group)
+            seen += len(pairs)
+            words = [self.joined(p) for p in pairs]
+            if len(set(words)) < len(words) or spelled & set(words):
+                if not chosen:  # only the very next merge is safe
+                    first = min((p for p in pairs if self.settled(p)), key=self.ids)
+                    if self.joined(first) in spelled:
+                        return self._reuse(first)
+                    chosen = [first]
                 break
-        return batch, False
-
-    def apply(self, batch: list[tuple[str, str]], deltas) -> None:
-        for pair, _ in batch:
-            self.best.pop(pair, None)
+            sharing = defaultdict(list)
+            for p in pairs:
+                for c in set(p):
+                    sharing[c].append(p)
+            for p in pairs:
+                if not blocked & set(p) and all(
+                    self.precedes(p, q) for c in set(p) for q in sharing[c] if q != p
+                ):
+                    chosen.append(p)
+                    spelled.add(self.joined(p))
+            blocked.update(sharing)
+        return [(p, self._apply(p)) for p in chosen], False
+
+    def _apply(self, pair: str) -> str:
+        made = symbol_char(self.made)
+        self.made += 1
+        self.bytes_of[made] = self.joined(pair)
+        self.char_of[self.bytes_of[made]] = made
+        self.applied[pair] = (self.best.pop(pair), made)
+        return made
+
+    def _reuse(self, pair: str) -> tuple[list[tuple[str, str]], bool]:
+        if self.applied:
+            return [], True
+        made = self.char_of[self.joined(pair)]
+        self._record(pair, made)
+        return [(pair, made)], True
+
+    def update(self, deltas) -> None:
         for row in deltas:
-            n = self.best.get(row.pair, 0) + row.delta
+            n = self.best.pop(row.pair, 0) + row.delta
             if self.wanted(row.pair, n):
                 self.best[row.pair] = n
-            else:
-                self.best.pop(row.pair, None)
 
     def touched(self, batch: list[tuple[str, str]]) -> list[str]:
         lefts = {pair[0] for pair, _ in batch}
         rights = {pair[1] for pair, _ in batch}
-        merged = {pair for pair, _ in batch}
-        return [p for p in self.best if p not in merged and (p[0] in rights or p[1] in lefts)]
+        return [p for p in self.best if p[0] in rights or p[1] in lefts]
+
+
+def _literal_list(values: list[str]) -> Column:
+    """One literal for the whole list, so the plan has the same shape, and the same generated
+    code, in every round. Symbols start at U+0100, none is a comma."""
+    return F.split(F.lit(",".join(values)), ",")
 
 
 def _replace_all(symbols: Column, merges: list[tuple[str, str]]) -> Column:
-    return reduce(lambda c, m: F.replace(c, F.lit(m[0]), F.lit(m[1])), merges, symbols)
+    return F.aggregate(
+        _literal_list([pair + made for pair, made in merges]),
+        symbols,
+        lambda word, m: F.replace(word, F.substring(m, 1, 2), F.substring(m, 3, 1)),
+    )
 
 
 def _merged(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
@@ -237,32 +311,23 @@ def _merged(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     return words.select(F.explode(chain).alias("symbols"), "freq")
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(Column.__or__, conditions)
-
-
-def _listed(pair: Column, pairs: list[str]) -> Column:
-    # one literal for the whole list; every entry is two characters long and none is a comma
-    return F.array_contains(F.split(F.lit(",".join(pairs)), ","), pair)
-
-
-def _top_pairs(words: DataFrame, trainer: _Trainer, limit: int):
-    """The most frequent pairs that are short enough, in order, and whether these are all."""
+def _top_pairs(words: DataFrame, order: MergeOrder, limit: int):
+    """The most frequent pairs that are short enough, and whether these are all."""
     sizes = words.sparkSession.createDataFrame(
-        [(symbol_char(i), len(t)) for i, t in enumerate(trainer.tokens)], "symbol string, size int"
+        [(c, len(t)) for c, t in order.bytes_of.items()], "symbol string, size int"
     )
 
-    def size_of(side: str, place: int) -> DataFrame:
+    def size_of(side: str) -> DataFrame:
         return F.broadcast(sizes.select(F.col("symbol").alias(side), F.col("size").alias(f"{side}_size")))
 
     rows = (
         pair_freq(words)
-        .filter(F.col("n") >= trainer.min_freq)
+        .filter(F.col("n") >= order.min_freq)
         .withColumn("left", F.substring("pair", 1, 1))
         .withColumn("right", F.substring("pair", 2, 1))
-        .join(size_of("left", 1), "left")
-        .join(size_of("right", 2), "right")
-        .filter(F.col("left_size") + F.col("right_size") <= trainer.max_bytes)
+        .join(size_of("left"), "left")
+        .join(size_of("right"), "right")
+        .filter(F.col("left_size") + F.col("right_size") <= order.max_bytes)
         .orderBy(F.desc("n"), "pair")
         .select("pair", "n")
         .limit(limit)
@@ -271,12 +336,13 @@ def _top_pairs(words: DataFrame, trainer: _Trainer, limit: int):
     return rows, len(rows) < limit
 
 
-def _deltas(words: DataFrame, batch: list[tuple[str, str]], trainer: _Trainer):
+def _deltas(words: DataFrame, batch: list[tuple[str, str]], order: MergeOrder):
     """Changes of pair counts caused by ``batch``, from the words that hold one of its pairs.
 
     Only pairs with a symbol of the batch can change, so the others are dropped before counting.
     """
-    changed = words.filter(_any([F.contains("symbols", F.lit(pair)) for pair, _ in batch]))
+    pairs_merged = _literal_list([pair for pair, _ in batch])
+    changed = words.filter(F.exists(pairs_merged, lambda p: F.contains("symbols", p)))
     old = F.struct(F.split("symbols", "").alias("chars"), (-F.col("freq")).alias("delta"))
     merged = F.split(_replace_all(F.col("symbols"), batch), "")
     new = F.struct(merged.alias("chars"), F.col("freq").alias("delta"))
@@ -285,11 +351,11 @@ def _deltas(words: DataFrame, batch: list[tuple[str, str]], trainer: _Trainer):
         _exploded(_pairs(F.col("side.chars")), "pair"), F.col("side.delta").alias("delta")
     )
     involved = "".join(sorted({c for pair, made in batch for c in pair + made}))
-    fresh = _any([F.contains("pair", F.lit(made)) for _, made in batch])
-    kept = fresh & (F.col("delta") >= max(trainer.min_freq, -trainer.limit[0]))
-    touched = trainer.touched(batch)
+    fresh = F.translate("pair", "".join(made for _, made in batch), "") != F.col("pair")
+    kept = fresh & (F.col("delta") > order.floor)
+    touched = order.touched(batch)
     if touched:
-        kept = kept | _listed(F.col("pair"), touched)
+        kept = kept | F.array_contains(_literal_list(touched), F.col("pair"))
     return (
         pairs.filter(F.translate("pair", involved, "") != F.col("pair"))
         .groupBy("pair")
@@ -305,7 +371,7 @@ def train_merges(
     min_freq: int = MIN_FREQUENCY,
     max_token_length: int = MAX_TOKEN_BYTES,
     candidates: int = CANDIDATES,
-) -> _Trainer:
+) -> MergeOrder:
     """Greedy merges over a ``word, freq`` table until ``symbols_wanted`` symbols exist.
 
     A full pair count fetches the best ``candidates`` pairs; after that, each round reads only the
@@ -314,58 +380,90 @@ def train_merges(
     written to the shared folder and replaces it.
     """
     spark = words.sparkSession
-    trainer = _Trainer(symbols_wanted, min_freq, max_token_length)
+    order = MergeOrder(symbols_wanted, min_freq, max_token_length)
 
     def staged(table: DataFrame) -> tuple[str, DataFrame]:
         path = stage_path(spark, "words")
-        return path, spread(stage_table(table, "words", path), ["symbols"]).persist()
-
-    path, base = staged(word_symbols(words))
+        return path, spread(stage_table(table, "words", path), ["symbols"])
+
+    def refolded(start: DataFrame, merges: list[tuple[str, str]], keep: str) -> tuple[str, DataFrame]:
+        """Write ``start`` after ``merges``, a bounded number of them at a time."""
+        path, table = keep, start
+        for i in range(0, len(merges), MERGES_PER_STAGE):
+            old = path
+            path, table = staged(_merged(table, merges[i : i + MERGES_PER_STAGE]))
+            if old not in (keep, origin):
+                drop_path(spark, old)
+        return path, table
+
+    origin, first = staged(word_symbols(words))
+    path, base = origin, first.persist()
     pending: list[tuple[str, str]] = []
-    rounds, recount = 0, True
-    while not trainer.full():
-        if pending and (recount or rounds == ROUNDS_PER_STAGE):
-            old_path, old_base = path, base
-            path, base = staged(_merged(base, pending))
-            old_base.unpersist()
-            drop_path(spark, old_path)
-            pending, rounds = [], 0
+    recount = True
+    while True:
+        order.settle()
+        if order.full():
+            break
+        if recount or len(pending) >= MERGES_PER_STAGE:
+            base.unpersist()
+            old = path
+            path, base = refolded(base, pending, path)
+            base.persist()
+            pending = []
+            if old not in (origin, path):
+                drop_path(spark, old)
         if recount:
-            rows, complete = _top_pairs(base, trainer, candidates)
+            rows, complete = _top_pairs(base, order, candidates)
+            if rows and not order.load(rows, complete):
+                candidates *= 2
+                continue
             if not rows:
-                break
-            trainer.load(rows, complete)
-        batch, recount = trainer.next_batch()
-        if not batch:
-            if trainer.limit == (-min_freq, chr(0x10FFFF)):
+                order.best, order.complete = {}, True
+            recount = False
+            continue
+        if not order.best:
+            if order.complete:
                 break
             recount = True
             continue
-        if not recount and not trainer.full():
-            trainer.apply(batch, _deltas(_merged(base, pending), batch, trainer))
+        batch, raises = order.next_batch()
+        if raises and not batch:
+            order.take_back()
+            base.unpersist()
+            old = path
+            path, base = refolded(first, order.replayed, origin)
+            base.persist()
+            pending, recount = [], True
+            if old not in (origin, path):
+                drop_path(spark, old)
+            continue
+        if raises:
+            recount = True
+        else:
+            order.update(_deltas(_merged(base, pending), batch, order))
         pending += batch
-        rounds += 1
     base.unpersist()
-    drop_path(spark, path)
-    return trainer
+    for used in {origin, path}:
+        drop_path(spark, used)
+    return order
 
 
-def assemble_vocab(spark: SparkSession, trainer: _Trainer) -> Vocabulary:
+def assemble_vocab(spark: SparkSession, trained: MergeOrder) -> Vocabulary:
     """Trained tokens with ids in training order, then the added tokens."""
     learned = [
         (i, bytearray(t), "".join(_PRINTABLE[b] for b in t))
-        for i, t in enumerate(trainer.tokens)
+        for i, t in enumerate(trained.tokens)
         if i >= len(ALPHABET)
     ]
     vocab = initial_alphabet(spark).unionByName(
         spark.createDataFrame(learned, "id int, bytes binary, token string")
     )
     merges = spark.createDataFrame(
-        [(rank, *merge) for rank, merge in enumerate(trainer.merges)],
+        [(rank, *merge) for rank, merge in enumerate(trained.merges)],
         "rank int, left int, right int, id int",
     )
     return Vocabulary(
-        vocab.coalesce(1), merges.coalesce(1), added_tokens(spark, len(trainer.tokens))
+        vocab.coalesce(1), merges.coalesce(1), added_tokens(spark, len(trained.tokens))
     )
 
 
