@@ -224,12 +224,12 @@ encoded AS (
 
 ORACLES: dict[str, str] = {
     "corpus_union": f"""WITH {UNION}
-SELECT src, length(text) AS n_chars, md5(text) AS text_md5 FROM corpus""",
+SELECT src, length(text)::INT AS n_chars, md5(text) AS text_md5 FROM corpus""",
     "corpus_slice": f"SELECT doc_id, md5(text) AS text_md5 FROM documents ORDER BY doc_id LIMIT {SLICE}",
-    "clean_documents": f"""SELECT doc_id, length(trim(text, {WS})) AS n_chars,
+    "clean_documents": f"""SELECT doc_id, length(trim(text, {WS}))::INT AS n_chars,
   md5(trim(text, {WS})) AS text_md5 FROM documents""",
     "repair_utf8": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
-    "quality_gate": f"WITH {PREPARED} SELECT doc_id, length(text) AS n_chars FROM gated",
+    "quality_gate": f"WITH {PREPARED} SELECT doc_id, length(text)::INT AS n_chars FROM gated",
     "dedup_first": "SELECT min(doc_id) AS doc_id, md5(text) AS text_md5 FROM documents GROUP BY text",
     "prepare_corpus": f"""WITH {UNION}, c AS (SELECT src, trim(text, {WS}) AS text FROM corpus)
 SELECT min(src) AS src, md5(text) AS text_md5 FROM c WHERE length(text) >= 100 GROUP BY text""",
