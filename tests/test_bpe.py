@@ -169,3 +169,31 @@ def test_word_and_pair_counts(spark):
     assert sorted(tuple(r) for r in words.collect()) == [(" ab", 1), ("ab", 2)]
     ids = {b: i for i, b in enumerate(bpe.ALPHABET)}
     assert [tuple(r) for r in bpe.pair_counts(words).collect()] == [(ids[97], ids[98], 3)]
+
+
+def test_a_second_way_to_spell_a_token_runs_alone_in_its_turn():
+    from collections import namedtuple
+
+    row, change = namedtuple("row", "pair n"), namedtuple("change", "pair delta")
+    at = {b: bpe.symbol_char(i) for i, b in enumerate(bpe.ALPHABET)}
+    a, b, c, p, q = (at[ord(x)] for x in "abcpq")
+    order = bpe.MergeOrder(270, 2, 30)
+    assert order.load([row(a + b, 10), row(b + c, 8), row(p + q, 2)], True)
+    batch, raises = order.next_batch()
+    assert [pair for pair, _ in batch] == [a + b, p + q] and not raises
+    ab = batch[0][1]
+    order.update([change(ab + c, 5)])
+    order.settle()
+    assert order.merges == [(*order.ids(a + b), 256)] and list(order.applied) == [p + q]
+    [(_, bc)], _ = order.next_batch()
+    order.update([change(a + bc, 3)])
+    order.settle()
+    [(pair, abc)], _ = order.next_batch()
+    assert pair == ab + c
+    order.settle()
+    # the pair (a, bc) spells the same bytes and ranks before the merge applied ahead of it
+    assert order.next_batch() == ([], True)
+    order.take_back()
+    assert order.next_batch() == ([(a + bc, abc)], True)
+    assert order.merges[-1] == (*order.ids(a + bc), order.id_of[abc])
+    assert [t for t in order.tokens[256:]] == [b"ab", b"bc", b"abc"]
