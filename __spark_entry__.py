@@ -516,9 +516,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return _packed(spark, "/root/testdata/sf0.001")
 
 
+def _llm():
+    """The queries of the ``llm`` subpackage; None where it is not installed."""
+    try:
+        from textmill.llm import queries as llm
+    except ModuleNotFoundError as error:
+        if error.name not in ("textmill.llm", "textmill.llm.queries", "corpus_pipeline"):
+            raise
+        return None
+    return llm
+
+
 def queries() -> dict[str, Query]:
-    return {query.__name__: query for query in QUERIES}
+    llm = _llm()
+    return {query.__name__: query for query in QUERIES} | (llm.queries() if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    llm = _llm()
+    return dict(ORACLES) | (llm.oracle_sql() if llm else {})

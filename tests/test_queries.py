@@ -20,7 +20,7 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_sql(spark, duck, name):
     df = queries()[name](spark, str(SF))
     rows = df.collect()
