@@ -42,8 +42,9 @@ _NAMES = "|".join(map(_either_case, ("password", "passwd", "secret", "token", "a
 
 RULES = (
     Rule("assign", 1, rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
-    Rule("access", 1, "AKIA[A-Z0-9]+", 0, 18),
-    Rule("hex", 1, "[0-9a-f]+", 0, 16),
+    # a greedy run of one class is as long as it can be, so its least length can stand in the pattern
+    Rule("access", 1, "AKIA[A-Z0-9]{14,}", 0, 18),
+    Rule("hex", 1, "[0-9a-f]{16,}", 0, 16),
     Rule("pem", 1, "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
 )
 
