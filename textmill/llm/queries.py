@@ -4,9 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from textmill.llm import secret_scan
+from textmill.llm import ann_blocks, mixing, quality_fm, secret_scan, sos_packing
 from textmill.storage import stage_path
 
+#: Numeric metadata the quality classifier may see.
+METADATA = ("n_chars",)
+KEEP_SCORE = 0.3
+
+
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer file; the package that has it is installed on every node."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
 
 def _table(spark, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -62,7 +73,42 @@ SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0)::BIGINT AS n_{r.kind}" for r
 FROM documents LEFT JOIN joined USING (doc_id)"""
 
 
-QUERIES = [op1_secret_scan]
+def op4_mix_sources(spark, sf):
+    documents = _table(spark, sf, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix(documents)
+    return mixed.select(
+        "doc_id",
+        F.col("_size").alias("size"),
+        F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"),
+        (F.col("_copies") * F.col("_size")).alias("taken"),
+    )
+
+
+def op5_nearest(spark, sf):
+    embeddings = _table(spark, sf, "embeddings")
+    return ann_blocks.nearest(embeddings, embeddings.filter("vec_id % 50 = 0"), k=5).select(
+        F.col("query_id"), F.col("rank"), F.col("vec_id"), F.col("score")
+    )
+
+
+def op6_pack(spark, sf):
+    return sos_packing.pack(_table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op10_quality(spark, sf):
+    documents = _table(spark, sf, "documents").select("doc_id", "text", *METADATA)
+    machine = quality_fm.fit(documents, _table(spark, sf, "labels"), metadata=METADATA)
+    scored = quality_fm.score(documents, machine, metadata=METADATA)
+    return scored.select(
+        "doc_id",
+        quality_fm.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"),
+    )
+
+
+QUERIES = [op1_secret_scan, op4_mix_sources, op5_nearest, op6_pack, op10_quality]
 
 
 def queries():
