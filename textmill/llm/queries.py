@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from textmill.llm import ann_blocks, mixing, quality_fm, secret_scan, sos_packing
+from textmill.llm import ann_blocks, mixing, quality_fm, secret_scan, sos_packing, token_files
 from textmill.storage import stage_path
 
 #: Numeric metadata the quality classifier may see.
@@ -96,6 +96,12 @@ def op6_pack(spark, sf):
     return sos_packing.pack(_table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op7_token_files(spark, sf):
+    path = stage_path(spark, "token_files")
+    token_files.write(_table(spark, sf, "documents"), path, vocabulary("byte_bpe_50k.json"), end_id=2)
+    return token_files.read(spark, path)
+
+
 def op10_quality(spark, sf):
     documents = _table(spark, sf, "documents").select("doc_id", "text", *METADATA)
     machine = quality_fm.fit(documents, _table(spark, sf, "labels"), metadata=METADATA)
@@ -108,7 +114,7 @@ def op10_quality(spark, sf):
     )
 
 
-QUERIES = [op1_secret_scan, op4_mix_sources, op5_nearest, op6_pack, op10_quality]
+QUERIES = [op1_secret_scan, op4_mix_sources, op5_nearest, op6_pack, op7_token_files, op10_quality]
 
 
 def queries():
