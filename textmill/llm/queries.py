@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from textmill.llm import ann_blocks, mixing, quality_fm, secret_scan, sos_packing, token_files
+from textmill.llm import ann_blocks, hmm_lm, mixing, quality_fm, secret_scan, sos_packing, token_files
 from textmill.storage import stage_path
 
 #: Numeric metadata the quality classifier may see.
@@ -102,6 +102,10 @@ def op7_token_files(spark, sf):
     return token_files.read(spark, path)
 
 
+def op9_hmm_scores(spark, sf):
+    return hmm_lm.score(_table(spark, sf, "documents"))
+
+
 def op10_quality(spark, sf):
     documents = _table(spark, sf, "documents").select("doc_id", "text", *METADATA)
     machine = quality_fm.fit(documents, _table(spark, sf, "labels"), metadata=METADATA)
@@ -114,7 +118,7 @@ def op10_quality(spark, sf):
     )
 
 
-QUERIES = [op1_secret_scan, op4_mix_sources, op5_nearest, op6_pack, op7_token_files, op10_quality]
+QUERIES = [op1_secret_scan, op4_mix_sources, op5_nearest, op6_pack, op7_token_files, op9_hmm_scores, op10_quality]
 
 
 def queries():
