@@ -126,20 +126,20 @@ def alike(sketches: np.ndarray, sizes: np.ndarray, others=None, other_sizes=None
     equal = np.empty((len(sketches), len(others)), np.float32)
     for i in range(len(sketches)):
         np.sum(sketches[i] == others, axis=1, out=equal[i])
-    near = (equal / HASHES - 1 / 256) / (1 - 1 / 256)
+    near = (equal / sketches.shape[1] - 1 / 256) / (1 - 1 / 256)
     least, most = np.minimum.outer(sizes, other_sizes), np.maximum.outer(sizes, other_sizes)
     return np.where(100 * least >= 80 * most, near, 0)
 
 
-def _forest(near: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a maximum spanning forest over the pairs with at least ``LEAST``."""
+def _forest(near: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Edges of a maximum spanning forest over the pairs with at least ``least``."""
     left = np.ones(len(near), bool)
     best, through = np.full(len(near), -1.0), np.zeros(len(near), np.int64)
     edges = []
     for _ in range(len(near)):
         i = int(np.argmax(np.where(left, best, -2)))
         left[i] = False
-        if best[i] >= LEAST:
+        if best[i] >= least:
             edges.append((int(through[i]), i))
         better = left & (near[i] > best)
         best[better], through[better] = near[i][better], i
@@ -208,7 +208,7 @@ def _pairs_batch(pairs: list[tuple[int, int, int]]):
     return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], ["a", "b", "key"])
 
 
-def _first_links(regions: DataFrame) -> DataFrame:
+def first_links(regions: DataFrame, least: float = LEAST) -> DataFrame:
     """Pass 1: links ``a, b``; and rows with null ``a`` for regions that are not settled."""
 
     def run(batches):
@@ -218,18 +218,18 @@ def _first_links(regions: DataFrame) -> DataFrame:
             lengths = np.diff(borders)
             # most regions are two nodes: all of them at once
             two = borders[:-1][lengths == 2]
-            equal = (sketch[two] == sketch[two + 1]).sum(axis=1) / HASHES
-            least, most = np.minimum(n[two], n[two + 1]), np.maximum(n[two], n[two + 1])
+            equal = (sketch[two] == sketch[two + 1]).mean(axis=1)
+            fewer, more = np.minimum(n[two], n[two + 1]), np.maximum(n[two], n[two + 1])
             near = (equal - 1 / 256) / (1 - 1 / 256)
-            for i in two[(near >= LEAST) & (100 * least >= 80 * most)]:
+            for i in two[(near >= least) & (100 * fewer >= 80 * more)]:
                 found.append((int(node[i]), int(node[i + 1]), int(keys[i])))
             for begin, end in zip(borders[:-1], borders[1:]):
                 if end - begin > 2:
                     near = alike(sketch[begin:end], n[begin:end])
                     np.fill_diagonal(near, 0)
-                    edges = _forest(near)
+                    edges = _forest(near, least)
                     found.extend((int(node[begin + i]), int(node[begin + j]), int(keys[begin])) for i, j in edges)
-                    if 2 * len(edges) < int((near >= LEAST).sum()):
+                    if 2 * len(edges) < int((near >= least).sum()):
                         found.append((None, None, int(keys[begin])))
                 if cut or end - begin < sizes[begin]:
                     found.append((None, None, int(keys[begin])))
@@ -239,7 +239,7 @@ def _first_links(regions: DataFrame) -> DataFrame:
     return stage_table(ordered.select("key", "size", "node", "n", "sketch").mapInArrow(run, _PAIRS), "links")
 
 
-def _rest(regions: DataFrame, open_keys: DataFrame, roots: DataFrame) -> DataFrame:
+def rest(regions: DataFrame, open_keys: DataFrame, roots: DataFrame, least: float = LEAST) -> DataFrame:
     """Pass 2: pairs ``a, b`` of different components in unsettled regions."""
     members = regions.join(open_keys, "key", "left_semi").join(roots, "node", "left")
     members = members.withColumn("root", F.coalesce("root", "node"))
@@ -281,7 +281,7 @@ def _rest(regions: DataFrame, open_keys: DataFrame, roots: DataFrame) -> DataFra
                     stop = min(i + NEAR, end)
                     near = alike(sketch[i:stop], n[i:stop], sketch[begin:end], n[begin:end])
                     near[root[i:stop, None] == roots_here[None, :]] = 0
-                    for p, q in zip(*np.nonzero(near >= LEAST)):
+                    for p, q in zip(*np.nonzero(near >= least)):
                         if i + p < begin + q:
                             found.append((int(node[i + p]), int(node[begin + q]), int(keys[begin])))
             yield _pairs_batch(found)
@@ -359,12 +359,12 @@ def near_duplicates(
     nodes = sets.join(firsts.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
     nodes = stage_table(nodes, "signatures")
     regions = _regions(nodes)
-    links = _first_links(regions)
+    links = first_links(regions)
     first = _confirmed(links.filter("a is not null"), nodes, documents, doc_id, text, width, similar)
     roots = components(first, "a", "b")
     open_keys = links.filter("a is null").select("key").distinct()
-    rest = _rest(regions, open_keys, roots).join(links.select("a", "b").filter("a is not null").distinct(), ["a", "b"], "left_anti")
-    second = _confirmed(rest, nodes, documents, doc_id, text, width, similar)
+    left = rest(regions, open_keys, roots).join(links.select("a", "b").filter("a is not null").distinct(), ["a", "b"], "left_anti")
+    second = _confirmed(left, nodes, documents, doc_id, text, width, similar)
     if second.head(1):
         roots = components(first.unionByName(second), "a", "b")
     labels = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

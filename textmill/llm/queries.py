@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from textmill.llm import ann_blocks, hmm_lm, lsh_forest, mixing, quality_fm, secret_scan, sos_packing, token_files
+from textmill.llm import ann_blocks, hmm_lm, line_dedup, lsh_forest, mixing, quality_fm, secret_scan, sos_packing, token_files
 from textmill.storage import stage_path
 
 #: Numeric metadata the quality classifier may see.
@@ -106,6 +106,13 @@ def op7_token_files(spark, sf):
     return token_files.read(spark, path)
 
 
+def op8_line_dedup(spark, sf):
+    cleaned = line_dedup.dedup_lines(_table(spark, sf, "documents").select("doc_id", "text"))
+    return cleaned.select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), "text"
+    )
+
+
 def op9_hmm_scores(spark, sf):
     return hmm_lm.score(_table(spark, sf, "documents"))
 
@@ -122,7 +129,7 @@ def op10_quality(spark, sf):
     )
 
 
-QUERIES = [op1_secret_scan, op3_near_duplicates, op4_mix_sources, op5_nearest, op6_pack, op7_token_files, op9_hmm_scores, op10_quality]
+QUERIES = [op1_secret_scan, op3_near_duplicates, op4_mix_sources, op5_nearest, op6_pack, op7_token_files, op8_line_dedup, op9_hmm_scores, op10_quality]
 
 
 def queries():
