@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from textmill.llm import ann_blocks, hmm_lm, line_dedup, lsh_forest, mixing, quality_fm, secret_scan, sos_packing, token_files
+from textmill.llm import ann_blocks, bm25_search, hmm_lm, line_dedup, lsh_forest, mixing, quality_fm, secret_scan, sos_packing, token_files
 from textmill.storage import stage_path
 
 #: Numeric metadata the quality classifier may see.
@@ -73,6 +73,11 @@ SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0)::BIGINT AS n_{r.kind}" for r
 FROM documents LEFT JOIN joined USING (doc_id)"""
 
 
+def op2_search(spark, sf):
+    documents = _table(spark, sf, "documents").select("doc_id", "text")
+    return bm25_search.search(documents, documents.filter("doc_id % 20 = 0"))
+
+
 def op3_near_duplicates(spark, sf):
     return lsh_forest.near_duplicates(_table(spark, sf, "documents"), width=2)
 
@@ -129,7 +134,7 @@ def op10_quality(spark, sf):
     )
 
 
-QUERIES = [op1_secret_scan, op3_near_duplicates, op4_mix_sources, op5_nearest, op6_pack, op7_token_files, op8_line_dedup, op9_hmm_scores, op10_quality]
+QUERIES = [op1_secret_scan, op2_search, op3_near_duplicates, op4_mix_sources, op5_nearest, op6_pack, op7_token_files, op8_line_dedup, op9_hmm_scores, op10_quality]
 
 
 def queries():
