@@ -23,8 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from textmill.llm.components import components
-from textmill.llm.lsh_forest import first_links, rest
+from textmill.llm.lsh_forest import linked
 from textmill.storage import stage_table
 
 SHINGLE, FUZZY = 8, 24
@@ -110,10 +109,13 @@ def _line_rows(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
-    """``key, node`` of the nodes that share a band with another one.
+    """``key, tree, node`` of the nodes that share a band with another one.
 
     Rows are sorted by key once; a task sees runs of keys as they pass and holds none of them."""
-    keys = F.array(*[F.xxhash64(F.lit(b), F.substring("sketch", ROWS * b + 1, ROWS)) for b in range(BANDS)])
+    # the band in the low bits, the hash of its bytes above
+    keys = F.array(*[
+        F.shiftleft(F.xxhash64(F.substring("sketch", ROWS * b + 1, ROWS)), 8).bitwiseOR(F.lit(b)) for b in range(BANDS)
+    ])
     exploded = nodes.filter("sketch is not null").select("node", F.explode(keys).alias("key"))
 
     def run(batches):
@@ -141,12 +143,12 @@ def _regions(nodes: DataFrame) -> DataFrame:
     sizes = dense.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
     wide = nodes.select("node", F.lit(1).cast("bigint").alias("n"), "sketch")
     joined = dense.join(sizes, "key").join(wide, "node")
-    return stage_table(joined.select("key", "size", F.col("sketch").alias("suffix"), "node", "n", "sketch"), "line_regions")
+    tree = F.pmod("key", F.lit(256)).cast("int").alias("tree")
+    return stage_table(joined.select("key", tree, "size", F.col("sketch").alias("suffix"), "node", "n", "sketch"), "line_regions")
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, doc_id: str, text: str, similar: int) -> DataFrame:
-    pairs = stage_table(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line_pairs")
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def _texts(ends: DataFrame, nodes: DataFrame, documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``node, text``: the lines of some nodes, read again from the first document that has each."""
     first = F.struct(F.col("first.place").alias("place"), "node", "digest")
     key = F.coalesce(F.col("first.doc_id").cast("string"), F.lit("null"))
     wanted = ends.join(nodes.select("node", "digest", "first"), "node").select(key.alias("_id"), F.col("first.version").alias("_version"), first.alias("line"))
@@ -168,22 +170,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, doc_id:
             yield pa.RecordBatch.from_arrays([pa.array(nodes_, pa.int64()), pa.array(lines_, pa.string())], ["node", "line"])
 
     picked = rows.join(wanted, ["_id", "_version"]).select("text", "lines").mapInArrow(pick, "node bigint, line string")
-    picked = stage_table(picked.groupBy("node").agg(F.first("line").alias("line")), "line_texts")
-
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for one, two in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                one, two = shingle_set(one), shingle_set(two)
-                every = len(np.union1d(one, two))
-                keep.append(100 * (len(one) + len(two) - every) >= similar * every)
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
-
-    full = pairs.join(picked.select(F.col("node").alias("a"), F.col("line").alias("_a")), "a").join(
-        picked.select(F.col("node").alias("b"), F.col("line").alias("_b")), "b"
-    )
-    return stage_table(full.select("a", "b", "_a", "_b").mapInArrow(run, "a bigint, b bigint"), "line_links")
+    return stage_table(picked.groupBy("node").agg(F.min("line").alias("text")), "line_texts")
 
 
 def copied_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: int = 80) -> DataFrame:
@@ -195,22 +182,15 @@ def copied_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
         F.min(position).alias("first"), F.max(position).alias("last"), F.min("sketch").alias("sketch")
     )
     nodes = stage_table(nodes.withColumn("node", F.monotonically_increasing_id()), "line_nodes")
-    regions = _regions(nodes)
-    links = first_links(regions, LEAST)
-    near = links.filter("a is not null").select("a", "b").distinct()
-    found = _confirmed(near, nodes, documents, doc_id, text, similar)
-    roots = components(found, "a", "b")
-    open_keys = links.filter("a is null").select("key").distinct()
-    left = rest(regions, open_keys, roots, LEAST).select("a", "b").join(near, ["a", "b"], "left_anti")
-    more = _confirmed(left, nodes, documents, doc_id, text, similar)
-    if more.head(1):
-        roots = components(found.unionByName(more), "a", "b")
-    linked = nodes.join(roots, "node").select("digest", "root", "first")
-    keepers = linked.groupBy("root").agg(F.min("first").alias("keeper"))
-    linked = linked.join(keepers, "root").select("digest", "keeper")
+    roots = linked(
+        _regions(nodes), lambda ends: _texts(ends, nodes, documents, doc_id, text), shingle_set, similar, ROWS, LEAST
+    )
+    fuzzy = nodes.join(roots, "node").select("digest", "root", "first")
+    keepers = fuzzy.groupBy("root").agg(F.min("first").alias("keeper"))
+    fuzzy = fuzzy.join(keepers, "root").select("digest", "keeper")
     # equal lines without a fuzzy partner: the first one stays
     alone = nodes.filter(~F.col("first").eqNullSafe(F.col("last"))).join(roots, "node", "left_anti")
-    keep = linked.unionByName(alone.select("digest", F.col("first").alias("keeper")))
+    keep = fuzzy.unionByName(alone.select("digest", F.col("first").alias("keeper")))
     # the join splits a line with very many copies (adaptive execution): the other side has one row
     return lines.select("doc_id", "version", "place", "digest").join(keep, "digest").filter(
         ~F.struct("doc_id", "version", "place").eqNullSafe(F.col("keeper"))

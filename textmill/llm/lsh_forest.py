@@ -1,15 +1,16 @@
 """MinHash near-duplicates with an LSH forest.
 
-A document is the set of its distinct word shingles; equal sets are one node. A node's signature
-of ``HASHES`` minima is read as ``TREES`` sequences, each starting at another place. In every tree
-nodes are sorted by their sequence; those sharing the first ``DEPTH`` values are a region. Within a
+A document is the set of its distinct word shingles; equal sets are one node. A node's signature,
+one byte of each of ``HASHES`` minima, is read as ``TREES`` sequences, each starting at another place.
+In every tree nodes are sorted by their sequence; those sharing the first ``DEPTH`` bytes are a
+region. Within a
 region the neighbours in sorted order, which share the longest prefixes, are compared by a sketch of
 the signature: up to ``NEAR`` at a time, so the depth that matters follows the density of the region.
 
 Pass 1 takes from each neighbourhood a maximum spanning forest of the pairs whose sketches agree
 enough, confirms those links on the full sets and joins what is linked. Pass 2 goes back to the
-regions that pass 1 did not settle and confirms every remaining pair between different components,
-in blocks: the largest component of a region against all others, and these among each other. So all
+regions that pass 1 did not settle and compares every remaining pair between different components,
+in blocks that carry the texts, each pair in the first tree it shares: the largest component of a region against all others, and these among each other. So all
 pairs of a region are either connected or compared, without listing pairs inside a group.
 
 Two sets of similarity 0.8 miss all regions with probability (1 - 0.8**4)**32 = 5e-8, and the
@@ -65,18 +66,18 @@ def digest(shingle_set: np.ndarray) -> bytes:
     return hashlib.blake2b(shingle_set.tobytes(), digest_size=16).digest()
 
 
-def signature(shingle_set: np.ndarray) -> np.ndarray:
-    """``HASHES`` minima of 32 bits."""
-    least = np.full(HASHES, 0xFFFFFFFF, np.uint64)
+def sketch(shingle_set: np.ndarray) -> np.ndarray:
+    """One byte of each of ``HASHES`` minima."""
+    least = np.full(HASHES, 0xFFFFFFFFFFFFFFFF, np.uint64)
     for i in range(0, len(shingle_set), 2048):
         part = np.multiply.outer(_TIMES, shingle_set[i : i + 2048])
         part += _PLUS[:, None]
-        np.minimum(least, part.min(axis=1) >> np.uint64(32), out=least)
-    return least.astype(">u4")
+        np.minimum(least, part.min(axis=1), out=least)
+    return (least >> np.uint64(32)).astype(np.uint8)
 
 
 def _describe(documents: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    """``row, doc_id, n_shingles, digest, sig, sketch`` of every document."""
+    """``row, doc_id, n, digest, sketch`` of every document."""
     id_type = documents.schema[doc_id].dataType.simpleString()
 
     def run(batches):
@@ -86,37 +87,33 @@ def _describe(documents: DataFrame, doc_id: str, text: str, width: int) -> DataF
             for value in batch.column(1):
                 own = shingles(value.as_py(), width)
                 if len(own):
-                    sig = signature(own)
-                    held.append((row, len(own), digest(own), sig.tobytes(), (sig & 0xFF).astype(np.uint8).tobytes()))
+                    held.append((row, len(own), digest(own), sketch(own).tobytes()))
                 else:
-                    held.append((row, 0, None, None, None))
+                    held.append((row, 0, None, None))
                 row += 1
-            columns = list(zip(*held)) if held else [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            columns = list(zip(*held)) if held else [()] * 4
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
             arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "row", "n", "digest", "sig", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "row", "n", "digest", "sketch"])
 
     rows = documents.select(doc_id, F.col(text).cast("string").alias(text)).mapInArrow(
-        run, f"doc_id {id_type}, row bigint, n bigint, digest binary, sig binary, sketch binary"
+        run, f"doc_id {id_type}, row bigint, n bigint, digest binary, sketch binary"
     )
     return stage_table(rows, "shingled")
 
 
 def _regions(nodes: DataFrame) -> DataFrame:
-    """``key, size, suffix, node, n, sketch`` of the nodes that share a prefix with another."""
-    twice = F.concat("sig", "sig")
-    bytes_ = 4 * DEPTH
+    """``key, tree, size, suffix, node, n, sketch`` of the nodes that share a prefix with another."""
     keys = F.array(*[
-        F.struct(F.xxhash64(F.lit(t), F.substring("sig", bytes_ * t + 1, bytes_)).alias("key"), F.lit(t).alias("tree"))
+        F.struct(F.xxhash64(F.lit(t), F.substring("sketch", DEPTH * t + 1, DEPTH)).alias("key"), F.lit(t).alias("tree"))
         for t in range(TREES)
     ])
     prefixes = nodes.select("node", F.inline(keys))
     dense = prefixes.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     near = prefixes.join(dense, "key")
-    suffix = F.expr(f"substring(twice, {bytes_} * tree + {bytes_ + 1}, {4 * ORDERED})")
-    wide = nodes.select("node", "n", "sketch", twice.alias("twice"))
-    joined = near.join(wide, "node").select("key", "size", suffix.alias("suffix"), "node", "n", "sketch")
-    return stage_table(joined, "regions")
+    suffix = F.expr(f"substring(concat(sketch, sketch), {DEPTH} * tree + {DEPTH + 1}, {ORDERED})")
+    joined = near.join(nodes.select("node", "n", "sketch"), "node")
+    return stage_table(joined.select("key", "tree", "size", suffix.alias("suffix"), "node", "n", "sketch"), "regions")
 
 
 def alike(sketches: np.ndarray, sizes: np.ndarray, others=None, other_sizes=None) -> np.ndarray:
@@ -239,8 +236,11 @@ def first_links(regions: DataFrame, least: float = LEAST) -> DataFrame:
     return stage_table(ordered.select("key", "size", "node", "n", "sketch").mapInArrow(run, _PAIRS), "links")
 
 
-def rest(regions: DataFrame, open_keys: DataFrame, roots: DataFrame, least: float = LEAST) -> DataFrame:
-    """Pass 2: pairs ``a, b`` of different components in unsettled regions."""
+def rest(regions: DataFrame, open_keys: DataFrame, roots: DataFrame, texts_of, set_of, similar: int, depth: int = DEPTH, least: float = LEAST) -> DataFrame:
+    """Pass 2: confirmed links ``a, b`` between different components in unsettled regions.
+
+    ``texts_of(nodes)`` gives ``node, text``; ``set_of(text)`` the full set. A pair is looked at only
+    in the first tree it shares, against the full sets, inside the task that has both blocks."""
     members = regions.join(open_keys, "key", "left_semi").join(roots, "node", "left")
     members = members.withColumn("root", F.coalesce("root", "node"))
     parts = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
@@ -252,7 +252,8 @@ def rest(regions: DataFrame, open_keys: DataFrame, roots: DataFrame, least: floa
         F.ceil((F.col("all") - F.col("top.c")) / NEAR).cast("int").alias("others"),
         F.ceil(F.col("top.c") / NEAR).cast("int").alias("tops"),
     )
-    side = members.join(mixed, "key").withColumn("is_top", F.col("root") == F.col("top"))
+    side = stage_table(members.join(mixed, "key").withColumn("is_top", F.col("root") == F.col("top")), "members")
+    side = side.join(texts_of(side.select("node").distinct()), "node")
     block = F.pmod(F.xxhash64("node"), F.when(F.col("is_top"), F.col("tops")).otherwise(F.col("others"))).cast("int")
     side = side.withColumn("block", block)
 
@@ -267,27 +268,52 @@ def rest(regions: DataFrame, open_keys: DataFrame, roots: DataFrame, least: floa
     )
     of_top = F.transform(upto(F.col("others")), lambda x: F.struct(x.alias("x"), F.col("block").alias("y")))
     places = F.when(F.col("is_top"), of_top).otherwise(F.concat(to_others, among))
-    dealt = side.select("key", "node", "root", "n", "sketch", F.inline(places))
+    dealt = side.select("key", "tree", "node", "root", "n", "sketch", "text", F.inline(places))
 
     def run(batches):
-        for columns, borders, _ in _groups(batches):
-            keys, _, _, node, root, n, sketch = columns
+        for columns, borders in _groups(batches):
+            _, _, _, tree, node, root, n, sketch_, text = columns
             found = []
             for begin, end in zip(borders[:-1], borders[1:]):
-                roots_here = root[begin:end]
-                if (roots_here == roots_here[0]).all():
+                here = root[begin:end]
+                if (here == here[0]).all():
                     continue
+                sets, joined = {}, {}
+
+                def set_at(i):
+                    if i not in sets:
+                        sets[i] = set_of(text[i])
+                    return sets[i]
+
+                def group(x):
+                    while joined.get(x, x) != x:
+                        x = joined[x]
+                    return x
+
                 for i in range(begin, end, NEAR):
                     stop = min(i + NEAR, end)
-                    near = alike(sketch[i:stop], n[i:stop], sketch[begin:end], n[begin:end])
-                    near[root[i:stop, None] == roots_here[None, :]] = 0
-                    for p, q in zip(*np.nonzero(near >= least)):
-                        if i + p < begin + q:
-                            found.append((int(node[i + p]), int(node[begin + q]), int(keys[begin])))
+                    near = alike(sketch_[i:stop], n[i:stop], sketch_[begin:end], n[begin:end])
+                    near[root[i:stop, None] == here[None, :]] = 0
+                    one, two = np.nonzero(near >= least)
+                    one, two = one + i, two + begin
+                    one, two = one[one < two], two[one < two]
+                    for j in range(0, len(one), 4096):
+                        p, q = one[j : j + 4096], two[j : j + 4096]
+                        shared = (sketch_[p] == sketch_[q]).reshape(len(p), -1, depth).all(axis=2)
+                        first = np.argmax(shared, axis=1) == tree[begin]
+                        for x, y in zip(p[first], q[first]):
+                            r, s = group(root[x]), group(root[y])
+                            if r == s:
+                                continue
+                            both = np.isin(set_at(x), set_at(y), assume_unique=True).sum()
+                            if 100 * both >= similar * (len(set_at(x)) + len(set_at(y)) - both):
+                                joined[r] = s
+                                found.append((int(node[x]), int(node[y]), int(columns[0][begin])))
             yield _pairs_batch(found)
 
     ordered = dealt.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-    return ordered.select("key", "x", "y", "node", "root", "n", "sketch").mapInArrow(run, _PAIRS)
+    chosen = ordered.select("key", "x", "y", "tree", "node", "root", "n", "sketch", "text")
+    return stage_table(chosen.mapInArrow(run, _PAIRS).select("a", "b").distinct(), "more_links")
 
 
 def _groups(batches):
@@ -301,10 +327,10 @@ def _groups(batches):
         last = np.logical_and.reduce([c == c[-1] for c in held[:3]])
         cut = 0 if last.all() else len(last) - int(np.argmin(last[::-1]))
         if cut:
-            yield [c[:cut] for c in held], _borders([c[:cut] for c in held[:3]]), False
+            yield [c[:cut] for c in held], _borders([c[:cut] for c in held[:3]])
             held = [c[cut:] for c in held]
     if held is not None:
-        yield held, _borders(held[:3]), False
+        yield held, _borders(held[:3])
 
 
 def _borders(columns) -> np.ndarray:
@@ -315,18 +341,26 @@ def _borders(columns) -> np.ndarray:
     return np.append(np.flatnonzero(new), len(new))
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, doc_id: str, text: str, width: int, similar: int) -> DataFrame:
+def _texts(ends: DataFrame, nodes: DataFrame, documents: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
+    """``node, text`` of some nodes. Rows of one id may differ: the digest finds the node's text."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_id")
+    wanted = ends.join(nodes.select("node", key, "digest"), "node")
+    rows = documents.select(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")).alias("_id"), F.col(text).cast("string").alias("text"))
+
+    def run(batches):
+        for batch in batches:
+            same = pa.array([digest(shingles(t.as_py(), width)) == d.as_py() for d, t in zip(batch.column(1), batch.column(2))], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(same), batch.column(2).filter(same)], ["node", "text"])
+
+    found = rows.join(wanted, "_id").select("node", "digest", "text").mapInArrow(run, "node bigint, text string")
+    return stage_table(found.groupBy("node").agg(F.min("text").alias("text")), "texts")
+
+
+def confirmed(pairs: DataFrame, texts_of, set_of, similar: int) -> DataFrame:
     """The pairs ``a, b`` with ``100 * intersection >= similar * union`` of their full sets."""
     pairs = stage_table(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = ends.join(nodes.select("node", "doc_id", "digest"), "node").withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
-    rows = documents.select(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")).alias("_id"), F.col(text).cast("string").alias("text"))
-    # several rows of one id may differ: the digest tells which text is the node's
-    texts = rows.join(wanted, "_id").groupBy("node", "digest", F.xxhash64("text")).agg(F.first("text").alias("text"))
-    texts = stage_table(texts.select("node", "digest", "text"), "texts")
-
-    def end(name: str) -> DataFrame:
-        return texts.select(F.col("node").alias(name), F.col("digest").alias(f"{name}_digest"), F.col("text").alias(f"{name}_text"))
+    texts = texts_of(ends)
 
     def run(batches):
         for batch in batches:
@@ -334,17 +368,27 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, doc_id:
             keep, known, known_of = [], None, None
             for i in range(batch.num_rows):
                 if known_of != a[i].as_py():
-                    known_of, known = a[i].as_py(), shingles(batch.column(3)[i].as_py(), width)
-                one, two = known, shingles(batch.column(5)[i].as_py(), width)
-                both = len(one) + len(two) - len(np.union1d(one, two))
-                keep.append(
-                    100 * both >= similar * (len(one) + len(two) - both)
-                    and digest(one) == batch.column(2)[i].as_py() and digest(two) == batch.column(4)[i].as_py()
-                )
-            yield pa.RecordBatch.from_arrays([a.filter(pa.array(keep, pa.bool_())), b.filter(pa.array(keep, pa.bool_()))], ["a", "b"])
+                    known_of, known = a[i].as_py(), set_of(batch.column(2)[i].as_py())
+                two = set_of(batch.column(3)[i].as_py())
+                both = int(np.isin(known, two, assume_unique=True).sum())
+                keep.append(100 * both >= similar * (len(known) + len(two) - both))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], ["a", "b"])
+
+    full = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("_a")), "a").join(
+        texts.select(F.col("node").alias("b"), F.col("text").alias("_b")), "b"
+    )
+    return stage_table(full.select("a", "b", "_a", "_b").mapInArrow(run, "a bigint, b bigint"), "confirmed")
+
 
-    full = pairs.join(end("a"), "a").join(end("b"), "b").select("a", "b", "a_digest", "a_text", "b_digest", "b_text")
-    return stage_table(full.mapInArrow(run, "a bigint, b bigint").distinct(), "confirmed")
+def linked(regions: DataFrame, texts_of, set_of, similar: int, depth: int = DEPTH, least: float = LEAST) -> DataFrame:
+    """``node, root`` of all nodes of ``regions`` that have a link, after both passes."""
+    links = first_links(regions, least)
+    first = confirmed(links.filter("a is not null"), texts_of, set_of, similar)
+    roots = components(first, "a", "b")
+    open_keys = links.filter("a is null").select("key").distinct()
+    second = rest(regions, open_keys, roots, texts_of, set_of, similar, depth, least)
+    return components(first.unionByName(second), "a", "b") if second.head(1) else roots
 
 
 def near_duplicates(
@@ -358,15 +402,12 @@ def near_duplicates(
     firsts = stage_table(sets.groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("label")), "nodes")
     nodes = sets.join(firsts.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
     nodes = stage_table(nodes, "signatures")
-    regions = _regions(nodes)
-    links = first_links(regions)
-    first = _confirmed(links.filter("a is not null"), nodes, documents, doc_id, text, width, similar)
-    roots = components(first, "a", "b")
-    open_keys = links.filter("a is null").select("key").distinct()
-    left = rest(regions, open_keys, roots).join(links.select("a", "b").filter("a is not null").distinct(), ["a", "b"], "left_anti")
-    second = _confirmed(left, nodes, documents, doc_id, text, width, similar)
-    if second.head(1):
-        roots = components(first.unionByName(second), "a", "b")
+    roots = linked(
+        _regions(nodes),
+        lambda ends: _texts(ends, nodes, documents, doc_id, text, width),
+        lambda value: shingles(value, width),
+        similar,
+    )
     labels = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = labels.groupBy("root").agg(F.min("label").alias("component_id"))
     by_digest = labels.select("digest", "root").join(smallest, "root").select("digest", "component_id", F.lit(True).alias("_linked"))
