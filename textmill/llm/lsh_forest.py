@@ -77,7 +77,7 @@ def sketch(shingle_set: np.ndarray) -> np.ndarray:
 
 
 def _describe(documents: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    """``row, doc_id, n, digest, sketch`` of every document."""
+    """``doc_id, version, row, n, digest, sketch`` of every document."""
     id_type = documents.schema[doc_id].dataType.simpleString()
 
     def run(batches):
@@ -94,10 +94,10 @@ def _describe(documents: DataFrame, doc_id: str, text: str, width: int) -> DataF
             columns = list(zip(*held)) if held else [()] * 4
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
             arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "row", "n", "digest", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *arrays], ["doc_id", "version", "row", "n", "digest", "sketch"])
 
-    rows = documents.select(doc_id, F.col(text).cast("string").alias(text)).mapInArrow(
-        run, f"doc_id {id_type}, row bigint, n bigint, digest binary, sketch binary"
+    rows = documents.select(doc_id, F.col(text).cast("string").alias("text"), F.xxhash64(text).alias("version")).mapInArrow(
+        run, f"doc_id {id_type}, version bigint, row bigint, n bigint, digest binary, sketch binary"
     )
     return stage_table(rows, "shingled")
 
@@ -394,12 +394,14 @@ def linked(regions: DataFrame, texts_of, set_of, similar: int, depth: int = DEPT
 def near_duplicates(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, similar: int = 80
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row; links have a Jaccard similarity of at
+    """``doc_id, n_shingles, component_id, kept, first, version`` of every row; ``version`` is the hash of
+    the text, ``first`` marks the smallest (id, version) of a component. Links have a Jaccard similarity of at
     least ``similar`` per cent (80 or more) on shingles of ``width`` words."""
+    _order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "version")
     described = _describe(documents, doc_id, text, width)
     sets = described.filter("digest is not null")
     # copies become one row per task here; the node takes the number of its first row
-    firsts = stage_table(sets.groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("label")), "nodes")
+    firsts = stage_table(sets.groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("label"), F.min(_order).alias("first")), "nodes")
     nodes = sets.join(firsts.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
     nodes = stage_table(nodes, "signatures")
     roots = linked(
@@ -409,12 +411,13 @@ def near_duplicates(
         similar,
     )
     labels = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = labels.groupBy("root").agg(F.min("label").alias("component_id"))
-    by_digest = labels.select("digest", "root").join(smallest, "root").select("digest", "component_id", F.lit(True).alias("_linked"))
+    smallest = labels.groupBy("root").agg(F.min("label").alias("component_id"), F.min("first").alias("_first"))
+    by_digest = labels.select("digest", "root").join(smallest, "root").select("digest", "component_id", "_first")
     # a digest with very many rows is split by adaptive execution: the other side has one row each
-    found = described.select("doc_id", "n", "digest").join(by_digest, "digest", "left")
-    component = F.when(F.col("_linked"), F.col("component_id")).otherwise(F.col("doc_id"))
+    found = described.select("doc_id", "version", "n", "digest").join(by_digest, "digest", "left")
+    component = F.when(F.col("_first").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
     return found.select(
         F.col("doc_id").alias(doc_id), F.col("n").alias("n_shingles"), component.alias("component_id"),
         component.eqNullSafe(F.col("doc_id")).alias("kept"),
+        (F.col("_first").isNull() | _order.eqNullSafe(F.col("_first"))).alias("first"), "version",
     )

@@ -100,7 +100,7 @@ class Machine:
 
     def fit(self, rows: list, labels: np.ndarray, seed: int = 10) -> None:
         share = float(labels.mean()) if len(labels) else 0.5
-        if not 0 < share < 1:
+        if not len(rows) or not 0 < share < 1:
             self.v[:] = 0
             self.bias = float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))
             return

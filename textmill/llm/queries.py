@@ -79,7 +79,8 @@ def op2_search(spark, sf):
 
 
 def op3_near_duplicates(spark, sf):
-    return lsh_forest.near_duplicates(_table(spark, sf, "documents"), width=2)
+    found = lsh_forest.near_duplicates(_table(spark, sf, "documents"), width=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op4_mix_sources(spark, sf):
@@ -138,8 +139,13 @@ QUERIES = [op1_secret_scan, op2_search, op3_near_duplicates, op4_mix_sources, op
 
 
 def queries():
-    return {query.__name__: query for query in QUERIES}
+    import corpus_pipeline
+
+    return {query.__name__: query for query in QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql():
-    return {"op1_secret_scan": _secret_sql()}
+    import corpus_pipeline
+
+    own = {"op1_secret_scan": _secret_sql(), "pipeline": corpus_pipeline.ORACLE_SQL}
+    return {name: sql for name, sql in own.items() if sql}
