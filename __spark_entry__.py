@@ -517,8 +517,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _llm():
-    """The queries of the ``llm`` subpackage; None where it is not installed."""
+    """The queries of the ``llm`` subpackage; None where it or its pipeline is not installed."""
     try:
+        import corpus_pipeline  # noqa: F401
         from textmill.llm import queries as llm
     except ModuleNotFoundError as error:
         if error.name not in ("textmill.llm", "textmill.llm.queries", "corpus_pipeline"):
