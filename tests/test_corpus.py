@@ -98,9 +98,17 @@ def test_gate_before_dedup(spark):
     assert sorted((r.src, r.row) for r in kept.collect()) == [(0, 2), (1, 1), (1, 2), (1, 3)]
 
 
-def test_dedup_moves_no_text_into_the_aggregate(spark):
-    plan = dedup_first(dups(spark), ["src", "row"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "CartesianProduct" not in plan and "LeftSemi" in plan
+def test_dedup_moves_no_text_when_copies_are_few(spark):
+    plan = dedup_first(dups(spark), ["src", "row"])._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning" not in plan and "CartesianProduct" not in plan
+
+
+def test_dedup_of_a_text_that_fills_the_table(spark):
+    rows = [(0, i, LONG if i % 3 else f"{i}{LONG}") for i in range(300)] + [(1, 0, None), (1, 1, None)]
+    kept = dedup_first(spark.createDataFrame(rows, "src int, row bigint, text string").repartition(5), ["src", "row"])
+    got = sorted((r.src, r.row) for r in kept.collect())
+    assert got == sorted([(0, 1), *((0, i) for i in range(0, 300, 3)), (1, 0)])
 
 
 def test_prepare_corpus_across_sources(spark, tmp_path):
@@ -126,3 +134,86 @@ def test_prefix_sums_with_gaps_and_negative_rows(spark, bucket_rows):
         total += n
     first = slice_rows(df, 20, ["src", "row"]).collect()
     assert sorted((r.src, r.row) for r in first) == [(s, r) for s, r, _ in sorted(rows)[:20]]
+
+
+def test_csv_fields_with_line_breaks_and_quotes(spark, tmp_path):
+    import csv
+
+    values = ["line one\nline two", 'said "hi" there', "plain", "a,b", ""]
+    (tmp_path / "c").mkdir()
+    with open(tmp_path / "c/train.csv", "w", newline="") as out:
+        writer = csv.writer(out)
+        writer.writerow(["id", "text"])
+        writer.writerows(enumerate(values))
+    assert [t or "" for t in texts(read_source(spark, f"{tmp_path}/c"))] == values
+    with open(tmp_path / "c/train.csv", "w", newline="") as out:
+        csv.writer(out).writerows([["id", "text"], [1, "one"], [2, 'two "2"']])
+    assert texts(read_source(spark, f"{tmp_path}/c", multi_line=False)) == ["one", 'two "2"']
+
+
+def test_json_arrays_and_lines(spark, tmp_path):
+    import gzip
+    import json
+
+    rows = [{"text": "one\ntwo"}, {"text": 'three "3"'}]
+    for name, body in {
+        "array": json.dumps(rows, indent=1), "flat": json.dumps(rows), "lines": "\n".join(map(json.dumps, rows)),
+    }.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "data.json").write_text(body)
+    (tmp_path / "zipped").mkdir()
+    with gzip.open(tmp_path / "zipped/data.jsonl.gz", "wt") as out:
+        out.write("\n".join(map(json.dumps, rows)))
+    for name in ("array", "flat", "lines", "zipped"):
+        assert texts(read_source(spark, f"{tmp_path}/{name}")) == [r["text"] for r in rows], name
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken/data.json").write_text('{"text": "a"}\n{"text": ')
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        read_source(spark, f"{tmp_path}/broken", schema="text string").collect()
+
+
+def test_formats_are_found_among_all_files(spark, tmp_path):
+    (tmp_path / "many/part=1").mkdir(parents=True)
+    (tmp_path / "many/_hidden.csv").write_text("x")
+    for i in range(40):
+        (tmp_path / f"many/part=1/f{i:02}.jsonl").write_text(f'{{"text": "t{i}"}}\n')
+    assert len(texts(read_source(spark, f"{tmp_path}/many"))) == 40
+    (tmp_path / "many/part=1/z.parquet").write_text("x")
+    with pytest.raises(ValueError, match="mixed or unknown"):
+        read_source(spark, f"{tmp_path}/many")
+    (tmp_path / "odd").mkdir()
+    (tmp_path / "odd/readme.xyz").write_text("x")
+    with pytest.raises(ValueError, match="mixed or unknown"):
+        read_source(spark, f"{tmp_path}/odd")
+
+
+def test_unknown_splits_are_errors(spark, sources, tmp_path):
+    with pytest.raises(ValueError, match="no split 'validation'"):
+        read_source(spark, f"{sources}/three", split="validation")
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t/test-0.jsonl").write_text('{"text": "a"}\n')
+    with pytest.raises(ValueError, match="no split 'train'"):
+        read_source(spark, f"{tmp_path}/t")
+    assert texts(read_source(spark, f"{tmp_path}/t", split="test")) == ["a"]
+
+
+def test_no_local_staging_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from textmill.storage import shared_folder
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default), sparkContext=context)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session)
+
+
+def test_user_filter_runs_before_deduplication(spark, tmp_path):
+    from textmill.operators.udf import filter_batches
+
+    rows = [(LONG + "a",), (LONG + "b",), (LONG + "b",)]
+    spark.createDataFrame(rows, "text string").coalesce(1).write.parquet(f"{tmp_path}/p")
+    source = [Source(f"{tmp_path}/p")]
+    keep = lambda df: filter_batches(df, lambda rows: rows["text"].str.endswith("b"), ["text"])
+    got = prepare_corpus(spark, source, keep=keep, exact=True).collect()
+    assert [(r.row, r.text) for r in got] == [(1, LONG + "b")]

@@ -161,3 +161,34 @@ def test_user_functions(spark):
     assert [r.n for r in udf.filter_rows(df, lambda r: r["n"] > 1).collect()] == [2]
     with pytest.raises(ValueError, match="dedup_first"):
         udf.filter_rows(df, lambda r: r["text"] not in SEEN)
+
+
+def test_predicates_with_state_are_refused(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "text string, n int")
+    stop = {"a"}
+
+    class Seen:
+        def __init__(self):
+            self.seen = set()
+
+        def new(self, row):
+            return row["text"] not in self.seen
+
+        __call__ = new
+
+    def defaulted(row, seen=[]):  # noqa: B006
+        return row["text"] not in seen
+
+    for bad in (Seen().new, Seen(), defaulted, lambda r: r["text"] not in stop):
+        with pytest.raises(ValueError):
+            udf.filter_rows(df, bad)
+    frozen = frozenset(stop)
+    assert [r.text for r in udf.filter_rows(df, lambda r: r["text"] not in frozen).collect()] == ["b"]
+    assert [r.text for r in udf.filter_rows(df, lambda r: r["text"] not in stop, ["text"], read_only=True).collect()] == ["b"]
+    assert [r.text for r in udf.filter_batches(df, lambda b: b["n"] < 2, ["n"]).collect()] == ["a"]
+
+
+def test_map_rows_sends_only_named_columns(spark):
+    df = spark.createDataFrame([("a", 1)], "text string, n int")
+    seen = udf.map_rows(df, lambda r: {"k": ",".join(sorted(r))}, "k string", ["n"]).collect()
+    assert seen[0].asDict() == {"text": "a", "n": 1, "k": "n"}

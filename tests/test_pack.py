@@ -134,3 +134,24 @@ def test_batches_steps_and_flattening(spark):
     assert sorted((r.epoch, r.batch, r.slot) for r in steps) == [(e, b, s) for e in (0, 1) for b in (0, 1) for s in range(4)]
     assert all(r.step == r.epoch and r.micro == r.batch for r in steps)
     assert {(r.batch, r.slot, r.chunk) for r in steps if r.epoch == 0} != {(r.batch, r.slot, r.chunk) for r in steps if r.epoch == 1}
+
+
+def test_a_very_long_row_is_cut_without_repeating_it(spark):
+    n, length = 2_000_000, 1000
+    rows = spark.range(1).select(F.lit(0).cast("bigint").alias("row"), F.sequence(F.lit(1), F.lit(n)).alias("input_ids"))
+    packed = pack_wrapped(rows, length, ["row"])
+    found = packed.agg(F.count(F.lit(1)), F.sum(F.aggregate("input_ids", F.lit(0).cast("bigint"), lambda a, x: a + x))).first()
+    assert tuple(found) == (n // length, n * (n + 1) // 2)
+
+
+def test_report_counts_the_rows_of_the_users_cleaner(spark, tmp_path):
+    from textmill.operators.tokenize import ByteTokenizer
+    from textmill.plans.jobs import preprocess
+    from textmill.sources.corpus import Source
+
+    rows = [(f"{i} " + "x" * 200,) for i in range(20)]
+    spark.createDataFrame(rows, "text string").coalesce(1).write.parquet(f"{tmp_path}/p")
+    clean = lambda df: df.filter(F.col("row") < 11)
+    _, report = preprocess(spark, [Source(f"{tmp_path}/p")], ByteTokenizer(), 64, f"{tmp_path}/out", clean=clean)
+    counts = {r["stage"]: r["value"] for r in report.filter("metric = 'n_rows'").collect()}
+    assert (counts["combined"], counts["cleaned"], counts["final"]) == (20, 11, 11)

@@ -78,14 +78,18 @@ def split_sizes(df: DataFrame, frac: float = TEST_FRACTION) -> DataFrame:
     )
 
 
-def _ranked(keyed: DataFrame, within: list[str], row: str) -> DataFrame:
-    """Add ``_rank`` (0-based shuffle position) and ``total``."""
+#: Bucket tables up to this number of rows are broadcast; there are 65,536 per epoch.
+BROADCAST_ROWS = 1 << 20
+
+
+def _ranked(keyed: DataFrame, within: list[str], row: str, groups: int = 1) -> DataFrame:
+    """Add ``_rank`` (0-based shuffle position) and ``total``; ``groups``: values of ``within``."""
     keys = [*within, "_bucket"]
     bases = _bases(keyed.select(*within, "_key"), within).drop("load")
     place = F.row_number().over(Window.partitionBy(*keys).orderBy("_key", row))
     return (
         keyed.withColumn("_bucket", _bucket(F.col("_key")))
-        .join(F.broadcast(bases), keys)
+        .join(F.broadcast(bases) if groups << 16 <= BROADCAST_ROWS else bases, keys)
         .withColumn("_rank", F.col("base") + place - 1)
     )
 
@@ -120,7 +124,7 @@ def assign_steps(
     """
     per_epoch = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     key = F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("epoch"), F.col(row)))
-    batched = _batched(_ranked(per_epoch.withColumn("_key", key), ["epoch"], row), batch_rows)
+    batched = _batched(_ranked(per_epoch.withColumn("_key", key), ["epoch"], row, epochs), batch_rows)
     size = F.lit(accum).cast("bigint")
     steps = F.call_function("div", F.col("_batches") + size - 1, size)
     return batched.select(

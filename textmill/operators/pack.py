@@ -7,15 +7,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 from textmill.operators.order import BUCKET, BUCKET_ROWS, with_start
 
 
-def _fragments(placed: DataFrame, size: Column, sequence_len: int) -> DataFrame:
-    """One row per (input row, chunk) with the global token range ``[lo, hi)`` they share."""
+def _fragments(
+    placed: DataFrame, size: Column, sequence_len: int, keep: list[str], columns: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per (input row, chunk) with the global token range ``[lo, hi)`` they share.
+
+    The lists are cut inside the row and only the cuts are exploded: memory and work stay linear in
+    the length of a row, the whole list is never repeated per chunk.
+    """
     length = F.lit(sequence_len).cast("bigint")
-    first = F.call_function("div", F.col("start"), length)
-    last = F.call_function("div", F.col("start") + size - 1, length)
-    cut = placed.withColumn("chunk", F.explode_outer(F.sequence(first, last)))
-    return cut.withColumn("lo", F.greatest("start", F.col("chunk") * length)).withColumn(
-        "hi", F.least(F.col("start") + size, (F.col("chunk") + 1) * length)
-    )
+    begin, end = F.col("start"), F.col("start") + size
+    first = F.call_function("div", begin, length)
+    last = F.call_function("div", end - 1, length)
+
+    def cut(chunk: Column) -> Column:
+        lo, hi = F.greatest(begin, chunk * length), F.least(end, (chunk + 1) * length)
+        parts = [F.slice(c, (lo - begin + 1).cast("int"), (hi - lo).cast("int")).alias(c) for c in columns]
+        return F.struct(chunk.alias("chunk"), lo.alias("lo"), hi.alias("hi"), *parts)
+
+    return placed.select(*keep, F.inline(F.transform(F.sequence(first, last), cut)))
 
 
 def pack_plan(
@@ -32,7 +42,7 @@ def pack_plan(
     size = F.size("input_ids") if tokens is None else tokens
     rows = df.select(*order, size.cast("bigint").alias("_n")).filter("_n > 0")
     placed = with_start(rows, F.col("_n"), order, bucket_rows=bucket_rows)
-    return _fragments(placed, F.col("_n"), sequence_len).select(
+    return _fragments(placed, F.col("_n"), sequence_len, [*order, "start"]).select(
         *order,
         "chunk",
         (F.col("lo") - F.col("start")).alias("row_from"),
@@ -64,13 +74,11 @@ def pack_wrapped(
     length = F.lit(sequence_len).cast("bigint")
     opens, closes = F.col("chunk") * length, (F.col("chunk") + 1) * length
     inside = (opens >= F.col("base")) & (closes <= F.col("base") + F.col("load"))
-    fragments = _fragments(placed, size, sequence_len).withColumn("_inside", inside)
+    keep = [*order[:-1], BUCKET, "base", "load"]
+    fragments = _fragments(placed, size, sequence_len, keep, columns).withColumn("_inside", inside)
 
     def gather(pieces: DataFrame, *keys: str) -> DataFrame:
-        begin, n = F.col("lo") - F.col("start") + 1, F.col("hi") - F.col("lo")
-        parts = F.struct(
-            "lo", *[F.slice(c, begin.cast("int"), n.cast("int")).alias(c) for c in columns]
-        )
+        parts = F.struct("lo", *columns)
         grouped = pieces.groupBy(*keys, "chunk").agg(F.sort_array(F.collect_list(parts)).alias("_parts"))
         return grouped.select(
             "chunk", *[F.flatten(F.col(f"_parts.{c}")).alias(c) for c in columns]

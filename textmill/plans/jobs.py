@@ -30,17 +30,33 @@ Clean = Callable[[DataFrame], DataFrame]
 
 
 def prepare_rows(
-    df: DataFrame, order: list[str], clean: Clean = clean_text, n: int = MIN_CHARS
+    df: DataFrame,
+    order: list[str],
+    clean: Clean = clean_text,
+    n: int = MIN_CHARS,
+    keep: Clean | None = None,
+    exact: bool = False,
 ) -> DataFrame:
-    """Clean, gate and deduplicate rows that are already read."""
-    return quality_and_unique(clean(df), order, n)
+    """Clean, filter, gate and deduplicate rows that are already read.
+
+    ``keep`` is a filter of the user on the cleaned rows, for example
+    ``lambda df: filter_batches(df, good, ["text"])``; it runs before the gate, so rows it drops
+    never count as first occurrence. ``exact`` compares texts instead of their digests.
+    """
+    cleaned = clean(df)
+    return quality_and_unique(keep(cleaned) if keep else cleaned, order, n, exact)
 
 
 def prepare_corpus(
-    spark: SparkSession, sources: list[Source], clean: Clean = clean_text, n: int = MIN_CHARS
+    spark: SparkSession,
+    sources: list[Source],
+    clean: Clean = clean_text,
+    n: int = MIN_CHARS,
+    keep: Clean | None = None,
+    exact: bool = False,
 ) -> DataFrame:
-    """Read, join, clean, gate and deduplicate the sources."""
-    return prepare_rows(read_corpus(spark, sources), CORPUS_ORDER, clean, n)
+    """Read, join, clean, filter, gate and deduplicate the sources."""
+    return prepare_rows(read_corpus(spark, sources), CORPUS_ORDER, clean, n, keep, exact)
 
 
 def stage_tokens(corpus: DataFrame, tokenizer: Tokenizer, order: list[str]) -> DataFrame:
@@ -81,10 +97,13 @@ def preprocess(
     min_length: int = MIN_TOKENS,
     clean: Clean = clean_text,
     with_token_types: bool = False,
+    keep: Clean | None = None,
+    exact: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Sources to packed table at ``prepared_path``; returns the table and the stage report."""
     raw = read_corpus(spark, sources)
-    tokens = stage_tokens(prepare_rows(raw, CORPUS_ORDER, clean), tokenizer, CORPUS_ORDER)
+    prepared = prepare_rows(raw, CORPUS_ORDER, clean, keep=keep, exact=exact)
+    tokens = stage_tokens(prepared, tokenizer, CORPUS_ORDER)
     packed = pack_staged(tokens, sequence_len, min_length, CORPUS_ORDER)
     # ones and zeros are as long as the ids, so they are written, not packed
     packed = packed.withColumn("attention_mask", attention_mask("input_ids"))
@@ -92,19 +111,26 @@ def preprocess(
         packed = packed.withColumn("token_type_ids", token_type_ids("input_ids"))
     write_packed(packed, prepared_path)
     written = read_packed(spark, prepared_path)
-    return written, preprocess_report(raw, tokens, written, sequence_len, min_length)
+    cleaned = None if clean is clean_text else clean(raw)
+    return written, preprocess_report(raw, tokens, written, sequence_len, min_length, cleaned)
 
 
 def preprocess_report(
-    raw: DataFrame, tokens: DataFrame, packed: DataFrame, sequence_len: int, min_length: int
+    raw: DataFrame,
+    tokens: DataFrame,
+    packed: DataFrame,
+    sequence_len: int,
+    min_length: int,
+    cleaned: DataFrame | None = None,
 ) -> DataFrame:
-    """``stage, metric, value``. Cleaning keeps every row, so it has the row count of the union."""
+    """``stage, metric, value``. The default cleaning keeps every row and needs no count of its
+    own; ``cleaned`` is what another cleaner returned."""
     combined = stats.stage_rows(raw, "combined")
     n = F.col("n_tokens")
     return stats.stage_report(
         [
             ("combined", combined),
-            ("cleaned", combined),
+            ("cleaned", combined if cleaned is None else stats.stage_rows(cleaned, "cleaned")),
             ("final", stats.stage_rows(tokens, "final", 4)),
             ("filter", stats.filter_token_stats(tokens, min_length, n)),
             ("tail", stats.tail_stats(tokens.filter(n >= min_length), sequence_len, n)),
@@ -121,9 +147,12 @@ def train_tokenizer(
     vocab_size: int = VOCAB_SIZE,
     min_freq: int = MIN_FREQUENCY,
     max_token_length: int = MAX_TOKEN_BYTES,
+    clean: Clean = clean_text,
+    keep: Clean | None = None,
+    exact: bool = False,
 ) -> tuple[Vocabulary, DataFrame]:
     """Train on the prepared corpus (the token gate does not apply) and save the vocabulary."""
-    corpus = prepare_corpus(spark, sources)
+    corpus = prepare_corpus(spark, sources, clean, keep=keep, exact=exact)
     vocabulary = train_bpe(corpus, vocab_size, min_freq, max_token_length)
     write_vocab(vocabulary, output_path)
     return vocabulary, stats.vocab_stats(vocabulary.vocab, vocabulary.added)

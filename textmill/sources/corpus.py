@@ -29,6 +29,7 @@ class Source:
     text_column: str = "text"
     format: str | None = None
     schema: str | None = None
+    multi_line: bool | None = None
 
 
 def _first_match(spark: SparkSession, *patterns: str) -> str | None:
@@ -39,19 +40,39 @@ def _first_match(spark: SparkSession, *patterns: str) -> str | None:
     return None
 
 
+def _extension(name: str) -> str | None:
+    stem = re.sub(r"\.(gz|zst|bz2|snappy|lz4)$", "", name)
+    return EXTENSIONS.get(stem.rsplit(".", 1)[-1].lower()) if "." in stem else None
+
+
 def _format_of(spark: SparkSession, path: str) -> str:
-    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    names = [path] + [
-        s.getPath().getName()
-        for glob in (path, f"{path.rstrip('/')}/*")
-        for s in (file_system(spark, path).globStatus(path_of(glob)) or [])[:20]
-    ]
-    for name in names:
-        stem = re.sub(r"\.(gz|zst|bz2|snappy|lz4)$", "", name)
-        found = EXTENSIONS.get(stem.rsplit(".", 1)[-1].lower())
-        if found:
-            return found
-    return "parquet"
+    """The one format of all files below ``path``; hidden files do not count.
+
+    Spark lists the files and only distinct endings come back, however many files there are.
+    """
+    ending = F.regexp_extract(F.col("path"), r"([^/]*)$", 1)
+    ending = F.regexp_extract(ending, r"((?:\.[A-Za-z0-9]+)?\.[A-Za-z0-9]+)$", 1)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    endings = [r[0] for r in files.select(ending).distinct().limit(100).collect()]
+    found = {_extension(e) for e in endings}
+    if not endings:
+        return _extension(path.rstrip("/")) or "parquet"
+    if None in found or len(found) > 1:
+        raise ValueError(f"{path} has files of mixed or unknown formats ({sorted(endings)}); give format=")
+    return found.pop()
+
+
+def _other_split(spark: SparkSession, root: str) -> str | None:
+    """A folder or file that is named like a split, if there is one."""
+    names = ("test", "validation", "valid", "val", "dev", "eval")
+    return _first_match(spark, *[f"{root}/{n}{end}" for n in names for end in ("", ".*", "-*")])
+
+
+def _array_file(spark: SparkSession, path: str) -> bool:
+    """Whether JSON text begins with an array that goes on after its first line."""
+    first = spark.read.text(path).filter(F.trim("value") != "").limit(1).collect()
+    line = first[0][0].strip() if first else ""
+    return line.startswith("[") and not line.endswith("]")
 
 
 def read_source(
@@ -61,12 +82,18 @@ def read_source(
     format: str | None = None,
     text_column: str = "text",
     schema: str | None = None,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """Read one source as ``file, block, row, text``.
 
     The split is, in this order: the folder ``path/split``, files ``path/split.*`` or
-    ``path/split-*``, the rows of ``path`` whose ``split`` column has that value, or all of
-    ``path``. ``split="train[:10000]"`` keeps the first rows in file order.
+    ``path/split-*``, or the rows of ``path`` whose ``split`` column has that value. A path without
+    any of these is all ``train``; any other split of it is an error, and so is ``train`` beside
+    other splits. ``split="train[:10000]"`` keeps the first rows in file order.
+
+    CSV fields may hold line breaks and doubled quotes; ``multi_line=False`` lets large files without
+    line breaks in fields be read in parts. JSON files are lines or arrays (``multi_line`` tells,
+    otherwise the first line does); records that cannot be parsed are an error, never null.
 
     ``row`` is the row index inside a parquet file. Other formats have no row index: ``block`` is
     the byte offset of the file block and ``row`` counts rows in read order, so order inside the
@@ -80,7 +107,13 @@ def read_source(
     target = _first_match(spark, f"{root}/{name}", f"{root}/{name}.*", f"{root}/{name}-*") or path
     fmt = format or _format_of(spark, target)
 
-    reader = spark.read.option("header", "true") if fmt == "csv" else spark.read
+    reader = spark.read
+    if fmt == "csv":
+        whole = multi_line is None or multi_line
+        reader = reader.options(header="true", quote='"', escape='"', multiLine=str(whole).lower(), mode="FAILFAST")
+    elif fmt == "json":
+        whole = _array_file(spark, target) if multi_line is None else multi_line
+        reader = reader.options(multiLine=str(whole).lower(), mode="FAILFAST")
     if schema:
         reader = reader.schema(schema)
     df = reader.format(fmt).load(target)
@@ -90,8 +123,11 @@ def read_source(
         raise ValueError(f"no column {text_column!r} in {target}")
     if text_column != "text" and "text" in df.columns:
         raise ValueError(f"{target} has a column 'text' besides {text_column!r}")
-    if target == path and "split" in df.columns:
-        df = df.filter(F.col("split") == name)
+    if target == path:
+        if "split" in df.columns:
+            df = df.filter(F.col("split") == name)
+        elif name != "train" or _other_split(spark, root):
+            raise ValueError(f"{path} has no split {name!r}")
 
     if fmt == "parquet":
         block, row = F.lit(0).cast("bigint"), F.col("_metadata.row_index")
@@ -130,7 +166,7 @@ def read_corpus(spark: SparkSession, sources: list[Source]) -> DataFrame:
     """All sources as ``src, file, block, row, text``."""
     return union_sources(
         [
-            read_source(spark, s.path, s.split, s.format, s.text_column, s.schema)
+            read_source(spark, s.path, s.split, s.format, s.text_column, s.schema, s.multi_line)
             for s in sources
         ]
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,13 +13,16 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
 
     Only where neither that setting nor a checkpoint folder exists (tests on one machine) is a
-    temporary folder created and set for the session.
+    temporary folder created and set for the session. On a cluster that is an error: every executor
+    would write to its own disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="textmill-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
