@@ -38,6 +38,7 @@ from textmill.operators.tokenize import (  # noqa: E402
 )
 from textmill.plans import jobs  # noqa: E402
 from textmill.sources.corpus import Source, read_corpus, slice_rows  # noqa: E402
+from textmill.sources.tables import read_vocab, write_vocab
 from textmill.storage import stage_path, stage_table  # noqa: E402
 
 ORDER = ["doc_id"]
@@ -134,7 +135,8 @@ def clean_documents(spark, sf):
         "text",
         F.concat(F.lit(" 　\t"), "text", F.lit("  \u0085\n")),
     )
-    return clean.clean_text(padded).select(
+    missing = padded.select((-1 - F.col("doc_id")).alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    return clean.clean_text(padded.unionByName(missing)).select(
         "doc_id", F.char_length("text").alias("n_chars"), F.md5("text").alias("text_md5")
     )
 
@@ -323,7 +325,9 @@ def assign_steps(spark, sf):
 
 
 def nfkc_documents(spark, sf):
-    return _documents(spark, sf).select("doc_id", F.md5(tx.nfkc("text")).alias("text_md5"))
+    # the texts are normal already; what is appended is not
+    marked = F.concat("text", F.lit("\ufb01\u2460\uff21e\u0301"))
+    return _documents(spark, sf).select("doc_id", F.md5(tx.nfkc(marked)).alias("text_md5"))
 
 
 def pre_split(spark, sf):
@@ -355,6 +359,12 @@ def assemble_vocab(spark, sf):
     )
 
 
+def reload_vocab(spark, sf):
+    path = stage_path(spark, "vocabulary")
+    write_vocab(_vocabulary(spark, sf), path)
+    return read_vocab(spark, path).merges
+
+
 def vocab_stats(spark, sf):
     tables = _vocabulary(spark, sf)
     return stats.vocab_stats(tables.vocab, tables.added)
@@ -504,7 +514,7 @@ QUERIES: list[Query] = [
     pack_plan, pack_corpus, stage_rows, filter_token_stats, tail_stats, packed_stats, length_audit,
     wrong_lengths, stage_report, split_sizes, train_test_split, lm_labels, micro_batches,
     flatten_batches, assign_steps, nfkc_documents, pre_split, word_freq, pair_counts, train_bpe,
-    assemble_vocab, vocab_stats, encode_documents, decode_documents, roundtrip, head_samples,
+    assemble_vocab, reload_vocab, vocab_stats, encode_documents, decode_documents, roundtrip, head_samples,
     explode_tokens, token_segments, render_samples, inspect_packed, token_loss, token_entropy,
     candidates, minmax_by_seq, shade, token_text, uncertainty_report, map_rows, map_batches,
     filter_rows,

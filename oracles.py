@@ -8,7 +8,7 @@ from textmill.operators.bpe import ADDED_TOKENS, ALPHABET
 SEQUENCE_LEN = 1024
 MIN_LENGTH = 150
 SEED = 7
-MERGES = 32
+MERGES = 256
 SLICE = 500
 BATCH_ROWS = 4
 TEST_FRACTION = 0.01
@@ -227,7 +227,8 @@ ORACLES: dict[str, str] = {
 SELECT src, length(text)::INT AS n_chars, md5(text) AS text_md5 FROM corpus""",
     "corpus_slice": f"SELECT doc_id, md5(text) AS text_md5 FROM documents ORDER BY doc_id LIMIT {SLICE}",
     "clean_documents": f"""SELECT doc_id, length(trim(text, {WS}))::INT AS n_chars,
-  md5(trim(text, {WS})) AS text_md5 FROM documents""",
+  md5(trim(text, {WS})) AS text_md5 FROM documents
+UNION ALL SELECT -1 - doc_id, 0, md5('') FROM documents""",
     "repair_utf8": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
     "quality_gate": f"WITH {PREPARED} SELECT doc_id, length(text)::INT AS n_chars FROM gated",
     "dedup_first": "SELECT min(doc_id) AS doc_id, md5(text) AS text_md5 FROM documents GROUP BY text",
@@ -289,7 +290,7 @@ SELECT batch, md5(string_agg(hx, '' ORDER BY slot)) AS ids_md5,
 FROM labelled GROUP BY batch""",
     "assign_steps": epoch_steps(),
     # no text of the given tables changes under NFKC
-    "nfkc_documents": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
+    "nfkc_documents": "SELECT doc_id, md5(text || 'fi1A' || chr(233)) AS text_md5 FROM documents",
     "pre_split": f"""WITH pieced AS ({pieces("documents")})
 SELECT doc_id, len(pieces)::INT AS n_pieces, md5(array_to_string(pieces, '|')) AS pieces_md5 FROM pieced""",
     "word_freq": f"WITH {WORDS} SELECT word, freq FROM words",
@@ -299,6 +300,7 @@ pairs AS (
          unnest([ids[i + 1] FOR i IN range(1, len(ids))]) AS "right", freq FROM symbols)
 SELECT "left", "right", sum(freq)::BIGINT AS n FROM pairs GROUP BY ALL HAVING sum(freq) >= 2""",
     "train_bpe": f'WITH RECURSIVE {TRAINED} SELECT rank::INT AS rank, "left", "right", id::INT AS id FROM merges',
+    "reload_vocab": f'WITH RECURSIVE {TRAINED} SELECT rank::INT AS rank, "left", "right", id::INT AS id FROM merges',
     "assemble_vocab": f"""WITH RECURSIVE {TRAINED},
 spelled AS (
   SELECT id, chr(256 + id) AS s, {MERGES} AS k
