@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from textmill.llm.bounded import smallest_hashes
+
 #: Bound of the labelled rows used for fitting.
 SAMPLE = 12_000
 BUCKETS, RANK = 1 << 15, 8
@@ -143,7 +145,7 @@ def fit(
     known = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_label"))
     known = known.filter(F.col("_id").isNotNull() & F.col("_label").isin(0, 1) & ~held_out("_id"))
     # each label once, the smallest hashes: at most ``sample`` rows, small enough to broadcast
-    chosen = known.groupBy("_id").agg(F.min("_label").alias("_label")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
+    chosen = smallest_hashes(known.groupBy("_id").agg(F.min("_label").alias("_label")), "_id", sample)
     columns = [F.col(m).cast("double") for m in metadata]
     rows = documents.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text"), *columns)
     found = rows.join(F.broadcast(chosen), "_id").select("_id", "_label", "_text", *metadata)
