@@ -155,3 +155,9 @@ def test_report_counts_the_rows_of_the_users_cleaner(spark, tmp_path):
     _, report = preprocess(spark, [Source(f"{tmp_path}/p")], ByteTokenizer(), 64, f"{tmp_path}/out", clean=clean)
     counts = {r["stage"]: r["value"] for r in report.filter("metric = 'n_rows'").collect()}
     assert (counts["combined"], counts["cleaned"], counts["final"]) == (20, 11, 11)
+    import glob
+
+    from textmill.storage import shared_folder
+
+    folder = shared_folder(spark).removeprefix("file:")
+    assert not glob.glob(f"{folder}/tokens-*/*.parquet")

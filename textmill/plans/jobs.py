@@ -24,7 +24,7 @@ from textmill.operators.uncertainty import (
 )
 from textmill.sources.corpus import CORPUS_ORDER, Source, read_corpus
 from textmill.sources.tables import Vocabulary, read_packed, write_packed, write_vocab
-from textmill.storage import stage_table
+from textmill.storage import drop_path, stage_path, stage_table
 
 Clean = Callable[[DataFrame], DataFrame]
 
@@ -59,14 +59,16 @@ def prepare_corpus(
     return prepare_rows(read_corpus(spark, sources), CORPUS_ORDER, clean, n, keep, exact)
 
 
-def stage_tokens(corpus: DataFrame, tokenizer: Tokenizer, order: list[str]) -> DataFrame:
-    """Encode once and stage ``[*order, input_ids, n_tokens]``.
+def stage_tokens(
+    corpus: DataFrame, tokenizer: Tokenizer, order: list[str], path: str | None = None
+) -> DataFrame:
+    """Encode once and stage ``[*order, input_ids, n_tokens]``, at ``path`` if one is given.
 
     Statistics read ``n_tokens`` only, and packing reads the ids without repeating the scan,
     deduplication and encoding.
     """
     tokens = tokenize(corpus, tokenizer, order).withColumn("n_tokens", F.size("input_ids"))
-    return stage_table(tokens, "tokens")
+    return stage_table(tokens, "tokens", path)
 
 
 def pack_staged(
@@ -100,10 +102,14 @@ def preprocess(
     keep: Clean | None = None,
     exact: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Sources to packed table at ``prepared_path``; returns the table and the stage report."""
+    """Sources to packed table at ``prepared_path``; returns the table and the stage report.
+
+    The staged tokens are removed once the report has read them.
+    """
+    tokens_path = stage_path(spark, "tokens")
     raw = read_corpus(spark, sources)
     prepared = prepare_rows(raw, CORPUS_ORDER, clean, keep=keep, exact=exact)
-    tokens = stage_tokens(prepared, tokenizer, CORPUS_ORDER)
+    tokens = stage_tokens(prepared, tokenizer, CORPUS_ORDER, tokens_path)
     packed = pack_staged(tokens, sequence_len, min_length, CORPUS_ORDER)
     # ones and zeros are as long as the ids, so they are written, not packed
     packed = packed.withColumn("attention_mask", attention_mask("input_ids"))
@@ -112,7 +118,10 @@ def preprocess(
     write_packed(packed, prepared_path)
     written = read_packed(spark, prepared_path)
     cleaned = None if clean is clean_text else clean(raw)
-    return written, preprocess_report(raw, tokens, written, sequence_len, min_length, cleaned)
+    report = preprocess_report(raw, tokens, written, sequence_len, min_length, cleaned)
+    report = stage_table(report.coalesce(1), "report")
+    drop_path(spark, tokens_path)
+    return written, report
 
 
 def preprocess_report(

@@ -142,6 +142,8 @@ def read_source(
         text_or_null(df, text_column).alias("text"),
     )
     if limit is not None:
+        if fmt == "parquet":  # n rows of the same file stand before the row with index n
+            rows = rows.filter(F.col("row") < int(limit))
         rows = slice_rows(rows, int(limit), ROW_ORDER)
     return spread(rows, ROW_ORDER) if fmt == "parquet" else rows
 
