@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from textmill.llm import (
     ann_blocks, bm25_search, components, hmm_lm, line_dedup, lsh_forest, mixing, quality_fm, range_coder, secret_scan,
@@ -557,3 +558,26 @@ def test_stages_of_the_pipeline(spark, table, rows, tmp_path):
     again = lsh_forest.near_duplicates(near).filter("not first").count()
     assert again == 0
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(packed)
+
+
+def test_columns_with_clashing_names(spark):
+    """Columns of the input may be called like anything the operators use or add."""
+    names = (
+        "_size _copies _mix _key each last size n key _score score _text _m0 _id _version version place row node digest sketch "
+        "blob found _salt kind start end rank term df text_ _n_lines target"
+    ).split()
+    docs = spark.createDataFrame([(i, f"line {i} of words\nshared line of many words here", "s") for i in range(6)], "doc_id bigint, text string, source string")
+    wide = docs.select("*", *[F.lit("x").alias(n) for n in names])
+    assert secret_scan.scan(wide, stage_path(spark, "ledger")).filter("size(found) = 0 and _salt = 'x'").count() == 6
+    assert bm25_search.search(wide, wide, k=2).count() == 12
+    assert lsh_forest.near_duplicates(wide).count() == 6
+    mixed = mixing.mix(wide)
+    assert len(set(mixed.columns)) == len(mixed.columns) and mixed.filter("each = 'x' and last = 'x' and _copies >= 0").count() == 6
+    assert sos_packing.pack(wide, vocabulary("word_bpe_49k.json")).count() >= 6
+    token_files.write(wide, path := stage_path(spark, "token_files"), vocabulary("byte_bpe_50k.json"), end_id=2)
+    assert token_files.read(spark, path).count() == 6
+    assert line_dedup.dedup_lines(wide).filter("_id = 'x' and _version = 'x'").selectExpr("sum(_n_removed)").first()[0] == 5
+    assert hmm_lm.score(wide).count() == 6
+    machine = quality_fm.fit(wide, spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id bigint, quality int"))
+    scored = quality_fm.score(wide, machine)
+    assert len(set(scored.columns)) == len(scored.columns) and scored.filter("score >= 0 and _text = 'x'").count() == 6

@@ -199,13 +199,14 @@ def copied_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
 
 def dedup_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: int = 80) -> DataFrame:
     """``documents`` with the copies of lines taken out of ``text``, plus ``_n_lines`` (not blank)
-    and ``_n_removed``."""
+    and ``_n_removed``, which replace columns of these names."""
+    documents = documents.drop("_n_lines", "_n_removed")
     gone = copied_lines(documents, doc_id, text, similar)
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_id")
-    gone = gone.groupBy(key, F.col("version").alias("_version")).agg(F.collect_list("place").alias("_places"))
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_line_id")
+    gone = gone.groupBy(key, F.col("version").alias("_line_version")).agg(F.collect_list("place").alias("_line_places"))
     names = documents.columns
-    keyed = documents.withColumns({"_id": F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), "_version": F.xxhash64(text)})
-    joined = keyed.join(gone, ["_id", "_version"], "left").select(*[F.col(n) for n in names], "_places")
+    keyed = documents.withColumns({"_line_id": F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), "_line_version": F.xxhash64(text)})
+    joined = keyed.join(gone, ["_line_id", "_line_version"], "left").select(*[F.col(n) for n in names], "_line_places")
     at = names.index(text)
     schema = StructType([*documents.schema.fields, StructField("_n_lines", LongType()), StructField("_n_removed", LongType())])
 

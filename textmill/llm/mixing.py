@@ -142,10 +142,12 @@ def mix(
     """All columns of ``documents`` with ``_size, _source_size, _target, _copies`` added.
 
     The row of a document with ``c`` copies stands once; repeat it ``c`` times to build the mix.
+    Columns of the input with the added names are replaced.
     """
     u = F.xxhash64(F.col(doc_id).cast("string"), F.lit(20))
-    keyed = documents.withColumns({"_key": source_key(source), "_size": words(text), "_u": u})
-    narrow = stage_table(keyed.select(F.col("_key").alias("key"), F.col("_size").alias("size"), F.col("_u").alias("u")), "sizes")
+    documents = documents.drop("_size", "_source_size", "_target", "_copies")
+    keyed = documents.withColumns({"_mix_key": source_key(source), "_size": words(text), "_mix_u": u})
+    narrow = stage_table(keyed.select(F.col("_mix_key").alias("key"), F.col("_size").alias("size"), F.col("_mix_u").alias("u")), "sizes")
     sizes = stage_table(narrow.groupBy("key", "size").agg(F.count(F.lit(1)).alias("n")), "size_counts")
     targets = stage_table(source_targets(sizes, weights, cap), "targets")
     lambdas = balance(sizes, targets, cap)
@@ -161,11 +163,11 @@ def mix(
     last = stage_table(_last_extra(narrow, groups), "extra")
     plan = groups.join(last, ["key", "size"], "left").join(targets, "key")
     plan = plan.select(
-        F.col("key").alias("_key"), F.col("size").alias("_size"), "each", "last",
+        F.col("key").alias("_mix_key"), F.col("size").alias("_size"), F.col("each").alias("_mix_each"), F.col("last").alias("_mix_last"),
         F.col("source_size").alias("_source_size"), F.col("target").alias("_target"),
     )
-    given = F.col("each") + F.coalesce((F.col("_u") <= F.col("last")).cast("bigint"), F.lit(0))
-    return keyed.join(plan, ["_key", "_size"]).withColumn("_copies", given.cast("bigint")).select(
+    given = F.col("_mix_each") + F.coalesce((F.col("_mix_u") <= F.col("_mix_last")).cast("bigint"), F.lit(0))
+    return keyed.join(plan, ["_mix_key", "_size"]).withColumn("_copies", given.cast("bigint")).select(
         *documents.columns, "_size", "_source_size", "_target", "_copies"
     )
 

@@ -40,7 +40,8 @@ _CLASSES[[*b"#$%&*+/<=>@[\\]^_`{|}~"]] = 6
 
 
 def held_out(doc_id: str, folds: int = 5) -> Column:
-    return F.pmod(F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")), F.lit(folds)) == 0
+    fold = F.pmod(F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")), F.lit(folds))
+    return F.coalesce(fold == 0, F.lit(False))  # a null id is not held out, and not learned from
 
 
 def features(text: str | None, metadata) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -184,8 +185,10 @@ def fit(
 def score(
     documents: DataFrame, machine: Machine, text: str = "text", metadata: tuple[str, ...] = (), name: str = "score"
 ) -> DataFrame:
-    """All columns of ``documents`` and ``name``: the probability of label 1."""
-    extra = [F.col(m).cast("double").alias(f"_m{i}") for i, m in enumerate(metadata)]
+    """All columns of ``documents`` and ``name``, the probability of label 1; it replaces a column of
+    that name."""
+    documents = documents.drop(name)
+    extra = [F.col(m).cast("double").alias(f"_fm_meta{i}") for i, m in enumerate(metadata)]
     schema = StructType([*documents.schema.fields, StructField(name, DoubleType())])
     width = len(documents.columns)
     shared = documents.sparkSession.sparkContext.broadcast(machine.state())  # BUCKETS * (RANK + 1) numbers
@@ -196,5 +199,5 @@ def score(
             scores = [model.score(r) for r in _feature_rows(batch.columns[width:], batch.num_rows)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(scores, pa.float64())], schema.names)
 
-    whole = documents.select("*", F.col(text).cast("string").alias("_text"), *extra)
+    whole = documents.select("*", F.col(text).cast("string").alias("_fm_text"), *extra)
     return whole.mapInArrow(run, schema)

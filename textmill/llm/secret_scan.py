@@ -143,7 +143,9 @@ class Ledger:
 def scan(versions: DataFrame, folder: str, path: str = "doc_id", text: str = "text", rules=RULES) -> DataFrame:
     """``versions`` without its text, plus ``blob`` and ``found``: sorted (start, place of the kind,
     kind, end) of all rules, empty where nothing is found. Updates the ledger in ``folder`` first.
+    Columns named ``blob`` or ``found`` are replaced.
     """
+    versions = versions.drop("blob", "found")
     ledger = Ledger(versions.sparkSession, folder)
     ledger.update(versions, path, text, rules)
     places = {rule.kind: i for i, rule in enumerate(rules)}
@@ -154,14 +156,14 @@ def scan(versions: DataFrame, folder: str, path: str = "doc_id", text: str = "te
         .filter(current)
         .groupBy("blob")
         .agg(F.sort_array(F.collect_set(F.struct("start", place.alias("place"), "kind", "end"))).alias("found"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        .withColumn("_secret_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
     salt = F.pmod(F.xxhash64(path, F.monotonically_increasing_id()), F.lit(SALTS)).cast("int")
-    paths = versions.withColumn("blob", blob_of(text)).withColumn("_salt", salt).drop(text)
+    paths = versions.withColumn("blob", blob_of(text)).withColumn("_secret_salt", salt).drop(text)
     none = F.array().cast("array<struct<start:bigint,place:int,kind:string,end:bigint>>")
     return (
-        paths.join(by_blob, ["blob", "_salt"], "left")
-        .drop("_salt")
+        paths.join(by_blob, ["blob", "_secret_salt"], "left")
+        .drop("_secret_salt")
         .withColumn("found", F.coalesce("found", none))
     )
 
