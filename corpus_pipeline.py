@@ -17,6 +17,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier rejects (score below ``KEEP_SCORE``) go."""
+    docs = docs.select(COLUMNS)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     machine = quality_fm.fit(docs, labels, metadata=METADATA)
     scored = quality_fm.score(docs, machine, metadata=METADATA, name="_score")
@@ -25,7 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies of lines go; a document that has lost every line goes too."""
-    cleaned = line_dedup.dedup_lines(docs)
+    cleaned = line_dedup.dedup_lines(docs.select(COLUMNS))
     left = (F.col("_n_removed") == 0) | (F.col("_n_removed") < F.col("_n_lines"))
     n_chars = F.when(F.col("_n_removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return cleaned.filter(left).withColumn("n_chars", n_chars).select(COLUMNS)
@@ -36,7 +37,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = lsh_forest.near_duplicates(docs)  # shingles of five words, similarity 0.8 or more
     key, version = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.xxhash64("text")
     gone = found.filter("not first").select(key.alias("_id"), F.col("version").alias("_version")).distinct()
-    keyed = docs.withColumns({"_id": key, "_version": version})
+    keyed = docs.select(COLUMNS).withColumns({"_id": key, "_version": version})
     # a row that repeats id and text is a copy as well
     left = keyed.join(stage_table(gone, "duplicates"), ["_id", "_version"], "left_anti")
     return left.dropDuplicates(["_id", "_version"]).select(COLUMNS)
@@ -44,7 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources near their target weights: a document stands as often as it has copies."""
-    mixed = mixing.mix(docs).filter("_copies > 0")
+    mixed = mixing.mix(docs.select(COLUMNS)).filter("_copies > 0")
     return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(COLUMNS)
 
 
