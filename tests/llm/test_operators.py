@@ -200,7 +200,9 @@ def test_near_duplicates_empty(empty):
     assert lsh_forest.near_duplicates(empty).count() == 0
 
 
-def test_components_of_a_path(spark):
+@pytest.mark.parametrize("local", [500_000, 4])
+def test_components_of_a_path(spark, monkeypatch, local):
+    monkeypatch.setattr(components, "LOCAL_EDGES", local)
     edges = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 101), (7, 7)], "a bigint, b bigint")
     roots = {r["node"]: r["root"] for r in components.components(edges, "a", "b").collect()}
     assert roots == {**{i: 0 for i in range(51)}, 100: 100, 101: 100}
