@@ -464,6 +464,44 @@ def test_expected_counts_add_up_over_portions():
     assert all(np.allclose(w, a + b, atol=1e-4) for w, a, b in zip(whole, *parts))
 
 
+def posteriors(model, places):
+    """Expected counts of one sequence by unscaled sums over all paths of states."""
+    forward = [model.first * model.emit[places[0]]]
+    for p in places[1:]:
+        forward.append(forward[-1] @ model.move * model.emit[p])
+    backward = [np.ones(len(model.first))]
+    for p in places[:0:-1]:
+        backward.insert(0, model.move @ (model.emit[p] * backward[0]))
+    total, emit, move = forward[-1].sum(), np.zeros_like(model.emit), np.zeros_like(model.move)
+    for t, p in enumerate(places):
+        emit[p] += forward[t] * backward[t] / total
+        if t:
+            move += np.outer(forward[t - 1], model.emit[p] * backward[t]) * model.move / total
+    return forward[0] * backward[0] / total, move, emit
+
+
+@pytest.mark.parametrize("window", [1, 7, 50, 10**6])
+def test_long_sequences_are_whole(monkeypatch, window):
+    """Borders of windows leave starts, moves, emissions and likelihoods as they are."""
+    monkeypatch.setattr(hmm_lm, "WINDOW", window, raising=False)
+    lexicon, random = small_lexicon(), np.random.default_rng(4)
+    sequences = [random.integers(0, lexicon.emitted + 1, n).astype(np.uint16) for n in (1, 60, 3, 61)]
+    model = hmm_lm.Hmm.seeded(sequences, lexicon)
+    wanted = [sum(x) for x in zip(*[posteriors(model, s) for s in sequences])]
+    assert all(np.allclose(g, w, rtol=1e-9, atol=1e-12) for g, w in zip(model.expect(sequences), wanted, strict=True))
+    assert np.allclose(model.log10(sequences), [hidden_states(model, s) for s in sequences])
+
+
+def test_documents_start_once(spark, monkeypatch):
+    """A long document is one start: training sees no start amid it."""
+    starts, step = [], hmm_lm.Hmm.stepped
+    monkeypatch.setattr(hmm_lm.Hmm, "stepped", lambda self, first, *more: starts.append(first.sum()) or step(self, first, *more))
+    texts = [(i, "a b c d e f g h " * 700) for i in range(1, 10)]
+    hmm_lm.score(spark.createDataFrame(texts, "doc_id bigint, text string")).count()
+    learned = sum(zlib.crc32(str(i).encode()) % 10 != 0 for i, _ in texts)
+    assert starts[-1] == pytest.approx(learned, rel=1e-9)
+
+
 def test_scores(table, rows, monkeypatch):
     monkeypatch.setattr(hmm_lm, "KNOWN", 60)  # most words go through the join
     found = hmm_lm.score(table).collect()
