@@ -502,6 +502,23 @@ def test_documents_start_once(spark, monkeypatch):
     assert starts[-1] == pytest.approx(learned, rel=1e-9)
 
 
+def test_learns_from_all_rows_until_the_likelihood_stops_rising(spark, monkeypatch):
+    steps, step = [], hmm_lm.Hmm.stepped
+    monkeypatch.setattr(hmm_lm.Hmm, "stepped", lambda *args: steps.append((args[1].sum(), args[4], made := step(*args))) or made)
+    random = np.random.default_rng(3)
+    texts = [(i, " ".join(f"w{(i % 5) * 6 + x}" for x in random.integers(0, 12, 60))) for i in range(120)]
+    hmm_lm.score(spark.createDataFrame(texts, "doc_id bigint, text string")).count()
+    train = [t for i, t in texts if zlib.crc32(str(i).encode()) % 10]
+    assert all(first == pytest.approx(len(train)) for first, *_ in steps)
+    _, lexicon, model = steps[-1]
+    sequences = [lexicon.place[lexicon.find(hmm_lm.token_hashes(t))[0]] for t in train]
+    reached = model.log10(sequences).sum()
+    again = step(model, *model.expect(sequences), lexicon).log10(sequences).sum()
+    assert abs(again - reached) < 2e-5 * abs(reached)
+    starts = [hmm_lm.Hmm.seeded(x, lexicon) for x in (sequences[:20], sequences[20:])]
+    assert (starts[0].emit == starts[1].emit).all()  # no sample shapes the start
+
+
 def test_scores(table, rows, monkeypatch):
     monkeypatch.setattr(hmm_lm, "KNOWN", 60)  # most words go through the join
     found = hmm_lm.score(table).collect()
