@@ -511,7 +511,7 @@ def test_learns_from_all_rows_until_the_likelihood_stops_rising(spark, monkeypat
     train = [t for i, t in texts if zlib.crc32(str(i).encode()) % 10]
     assert all(first == pytest.approx(len(train)) for first, *_ in steps)
     _, lexicon, model = steps[-1]
-    sequences = [lexicon.place[lexicon.find(hmm_lm.token_hashes(t))[0]] for t in train]
+    sequences = [lexicon.find(hmm_lm.token_hashes(t))[0] for t in train]
     reached = model.log10(sequences).sum()
     again = step(model, *model.expect(sequences), lexicon).log10(sequences).sum()
     assert abs(again - reached) < 2e-5 * abs(reached)
@@ -519,6 +519,19 @@ def test_learns_from_all_rows_until_the_likelihood_stops_rising(spark, monkeypat
     assert (starts[0].emit == starts[1].emit).all()  # no sample shapes the start
 
 
+def test_rare_words_are_emitted_by_state(spark, monkeypatch):
+    """Learning by the join gives the scores of a model that holds all words, also of words beyond it."""
+    random = np.random.default_rng(5)
+    texts = [(i, " ".join(f"{'ab'[i % 2]}{x}" for x in random.integers(0, 40, 30)) + f" own{i}") for i in range(60)]
+    documents = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    monkeypatch.setattr(hmm_lm, "RISE", 1e-3, raising=False)
+    whole = {r["doc_id"]: r["score"] for r in hmm_lm.score(documents).collect()}
+    monkeypatch.setattr(hmm_lm, "EMITTED", 5, raising=False)
+    monkeypatch.setattr(hmm_lm, "KNOWN", 5)
+    joined = {r["doc_id"]: r["score"] for r in hmm_lm.score(documents).collect()}
+    assert joined == pytest.approx(whole, rel=1e-9)
+
+
 def test_scores(table, rows, monkeypatch):
     monkeypatch.setattr(hmm_lm, "KNOWN", 60)  # most words go through the join
     found = hmm_lm.score(table).collect()
