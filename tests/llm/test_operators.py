@@ -417,6 +417,24 @@ def test_lines(spark, rows):
     assert by_id([(r["doc_id"], r["text"]) for r in found]) == by_id(lines_without_copies(more))
 
 
+def test_short_lines_have_near_copies(spark):
+    """Every line of a shingle or more takes part; below that only equal lines are copies."""
+    pairs = [
+        ("All rights reserved.", "All rights reserved"), ("Share this on Twitter.", "Share this on Twitter!"),
+        ("-" * 8, "-" * 11), ("Read more here", "Read more there"), ("a b c d", "a b c e"),
+    ]
+
+    def near(a, b):
+        a, b = ({t[i : i + 8] for i in range(len(t) - 7)} for t in (a, b))
+        return bool(a and b) and 100 * len(a & b) >= 80 * len(a | b)
+
+    assert [near(*p) for p in pairs] == [True, True, True, False, False]
+    table = spark.createDataFrame([(2 * i + j, t) for i, p in enumerate(pairs) for j, t in enumerate(p)], "doc_id bigint, text string")
+    found = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(table.repartition(3)).collect()}
+    for i, (a, b) in enumerate(pairs):
+        assert (found[2 * i], found[2 * i + 1]) == (a, "" if near(a, b) else b)
+
+
 def test_lines_empty(empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 

@@ -1,7 +1,7 @@
 """Line deduplication: exact and fuzzy copies of lines, one line per component stays.
 
 Lines end at ``\\n``. Equal lines (after stripping blanks at both ends) are one node. Nodes of
-``FUZZY`` or more characters have a MinHash signature over their character shingles, one byte per
+``SHINGLE`` or more characters have a MinHash signature over their character shingles, one byte per
 hash; ``BANDS`` bands of ``ROWS`` bytes propose pairs, which are confirmed by the Jaccard similarity
 of the full shingle sets. What is linked forms components by distributed union-find; the line with
 the smallest (document, place) of a component stays, all others go. Two lines of similarity 0.8 share
@@ -26,7 +26,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from textmill.llm.lsh_forest import linked
 from textmill.storage import stage_table
 
-SHINGLE, FUZZY = 8, 24
+SHINGLE = 8
 BANDS, ROWS = 16, 5
 #: Five standard deviations of the estimate below 0.8.
 LEAST = 0.57
@@ -89,7 +89,7 @@ def _line_rows(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
                 for i, line in enumerate((value.as_py() or "").split("\n")):
                     line = line.strip()
                     if line:
-                        if len(line) >= FUZZY:
+                        if len(line) >= SHINGLE:
                             at.append(len(owner))
                             long.append(line)
                         owner.append(row)
