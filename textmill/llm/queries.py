@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from textmill.llm import ann_blocks, bm25_search, hmm_lm, line_dedup, lsh_forest, mixing, quality_fm, secret_scan, sos_packing, token_files
+from textmill.llm import (
+    ann_blocks, bm25_search, conversation_repair, hmm_lm, line_dedup, lsh_forest, mixing, partenum_join, quality_fm, secret_scan,
+    sos_packing, token_alignment, token_files,
+)
 from textmill.storage import stage_path
 
 #: Numeric metadata the quality classifier may see.
@@ -135,6 +138,21 @@ def op10_quality(spark, sf):
     )
 
 
+def op11_jaccard_join(spark, sf):
+    joined = partenum_join.join(_table(spark, sf, "documents").select("doc_id", "text"))
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
+def op12_token_alignment(spark, sf):
+    documents = _table(spark, sf, "documents").select("doc_id", "text")
+    aligned, _ = token_alignment.align(documents, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    return aligned
+
+
+def op13_conversation_repair(spark, sf):
+    return conversation_repair.audit(_table(spark, sf, "conversations"))
+
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 _NEAR_SQL = rf"""
@@ -157,7 +175,10 @@ SELECT doc_id, n AS n_shingles, min(b) AS component_id, doc_id = min(b) AS kept
 FROM sizes JOIN reached ON a = doc_id GROUP BY doc_id, n"""
 
 
-QUERIES = [op1_secret_scan, op2_search, op3_near_duplicates, op4_mix_sources, op5_nearest, op6_pack, op7_token_files, op8_line_dedup, op9_hmm_scores, op10_quality]
+QUERIES = [
+    op1_secret_scan, op2_search, op3_near_duplicates, op4_mix_sources, op5_nearest, op6_pack, op7_token_files, op8_line_dedup, op9_hmm_scores,
+    op10_quality, op11_jaccard_join, op12_token_alignment, op13_conversation_repair,
+]
 
 
 def queries():
