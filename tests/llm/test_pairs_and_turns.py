@@ -216,23 +216,37 @@ def test_alignment_equals_whole_texts(spark, whole):
 def test_alignment_of_ranges(spark, whole):
     """Every text in ranges of a few characters, most pairs outside the broadcast head."""
     rows = texts(1)
-    found, _ = ta.align(spark.createDataFrame(rows, SCHEMA).repartition(3), A_PATH, B_PATH, size=7, long=10, head=20)
+    found, _ = ta.align(spark.createDataFrame(rows, SCHEMA).repartition(3), A_PATH, B_PATH, size=29, long=40, head=20)
     assert collected(found) == aligned(rows, whole)
 
 
-def test_fragments_are_a_monoid(whole):
-    tokens = whole("".join(t or "" for _, t in texts(2)[:12]))
-    length = tokens[0][-1][1]
+def test_fragments_are_a_monoid():
+    tokenizers = ta.Tokenizers(A_PATH, B_PATH)
+    ids, ends = tokenizers.tokens(" " + "".join(t or "" for _, t in texts(2)[:12]))
+    length = int(ends[0][-1])
     random = np.random.default_rng(0)
-    expected = ta.Fragment.of(tuple(tokens)).finished()
+    expected = ta.Fragment.of(ids, ends, tokenizers).finished(tokenizers)
     for _ in range(30):
         borders = sorted({0, length, *random.integers(1, length, 9).tolist()})
-        parts = [ta.Fragment.of(tuple([t for t in side if b < t[1] <= e] for side in tokens)) for b, e in zip(borders, borders[1:])]
+        parts = []
+        for begin, end in zip(borders, borders[1:]):
+            inside = [(e > begin) & (e <= end) for e in ends]
+            parts.append(ta.Fragment.of(*(tuple(x[m] for x, m in zip(xs, inside)) for xs in (ids, ends)), tokenizers))
         while len(parts) > 1:  # any bracketing
             i = int(random.integers(len(parts) - 1))
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        made = parts[0].finished()
-        assert made.groups == expected.groups and made.pairs == expected.pairs and (made.numbers == expected.numbers).all()
+            parts[i : i + 2] = [parts[i].plus(parts[i + 1], tokenizers)]
+        made = parts[0].finished(tokenizers)
+        assert ";".join(made.groups) == ";".join(expected.groups) and (made.numbers == expected.numbers).all()
+        assert all((x == y).all() for x, y in zip(made.pairs, expected.pairs))
+
+
+def test_large_groups_are_counted(monkeypatch, whole):
+    rows = texts(3)
+    tokenizers = ta.Tokenizers(A_PATH, B_PATH)
+    one = ta.aligned([t for _, t in rows], tokenizers)
+    monkeypatch.setattr(ta, "LISTED", 1)
+    two = ta.aligned([t for _, t in rows], tokenizers)
+    assert all((x is None) == (y is None) and (x is None or all((p == q).all() for p, q in zip(x[2:], y[2:]))) for x, y in zip(one, two))
 
 
 def test_alignment_of_odd_tables(spark):

@@ -8,8 +8,7 @@ A text is a sequence of units, each a space and what follows up to the next spac
 visible: no token of either side crosses such a place. A byte range of a text yields a *fragment*:
 tokens are those that end in the range, ``prefix`` are the tokens before its first common end,
 ``groups`` the closed groups and ``suffix`` the tokens behind its last common end. Fragments form a
-monoid: ``(p, g, s) + (q, h, t)`` joins ``s`` and ``q``, closes what has common ends now, and has
-``p`` and ``t`` open. Texts of more than ``LONG`` characters become byte ranges that different tasks
+monoid: ``(p, g, s) + (q, h, t)`` closes ``s`` and ``q`` as one group and has ``p`` and ``t`` open. Texts of more than ``LONG`` characters become byte ranges that different tasks
 turn into fragments; a tree of groups of ``FAN`` neighbours composes them. A unit that crosses a
 border is tokenized on both sides, each side keeps the tokens ending in its range; a border inside a
 unit longer than a range is left out, since a unit cannot be cut.
@@ -26,7 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -37,7 +36,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from textmill.llm.bounded import frequency_class, least_class
-from textmill.llm.public_bpe import KEEP_SPACE, PieceEncoder
+from textmill.llm.public_bpe import _BYTE_SIGNS, _PRINTABLE, KEEP_SPACE, PieceEncoder
 from textmill.storage import stage_table
 
 #: Characters of a byte range, and of a text from which on it is cut into ranges.
@@ -46,55 +45,51 @@ RANGE, LONG = 200_000, 800_000
 FAN = 8
 #: Pairs whose counts are broadcast.
 HEAD = 131_072
-#: Units, and characters in them, that a task remembers; bounds of memory only.
-CACHED_UNITS, CACHED_CHARS = 100_000, 20_000_000
+#: Characters of short texts aligned at once.
+TOGETHER = 1_000_000
+#: Links of a group up to which they are listed; a larger group is counted by distinct ids.
+LISTED = 256
 
 _CUT = re.compile("(?<=[^\\s▁])(?= )")
 _PAIR = 1 << 32
 
-Tokens = tuple[list, list]  # (id, end) of A, (id, end) of B
+Ids = tuple[np.ndarray, np.ndarray]  # of A and of B
 
 
 class Tokenizers:
-    """Ids and end offsets of both sides for one unit."""
+    """Ids and byte lengths of both sides; ``B`` brings the space in front with it."""
 
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
 
         self._a = PieceEncoder(a_path, KEEP_SPACE)
         self._b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        self.a_bytes = _byte_level(self._a._tokenizer)
-        self.b_bytes = _pieces(self._b)
-        alone = self._b.encode("a")
-        self._space = self._b.encode("a ")[len(alone) :]
-
-    def ids(self, unit: str) -> tuple[list[int], list[int]]:
-        if len(self._a) > 1000:
-            self._a.clear()
-        ids = np.frombuffer(self._a[unit], np.int32).tolist()
-        # the space in front comes from the model, unless nothing follows
-        return ids, self._b.encode(unit[1:]) if len(unit) > 1 else list(self._space)
-
-    def tokens(self, text: str, start: int = 0) -> Tokens | None:
-        """Tokens of whole units with their ends from ``start`` on; None if bytes differ."""
-        sides = []
-        data = text.encode()
-        ids = ([], [])
-        for unit in _CUT.split(text):
-            for own, new in zip(ids, self.ids(unit)):
-                own.extend(new)
-        for own, table in zip(ids, (self.a_bytes, self.b_bytes)):
-            parts = [table[i] for i in own]
-            if b"".join(parts) != data:
+        self._bytes = _byte_level(self._a._tokenizer), _pieces(self._b)
+        self._lengths = tuple(np.array([len(t) for t in table], np.int64) for table in self._bytes)
+        self.sizes = tuple(map(len, self._bytes))
+        self._space = self._b.encode("a ")[len(self._b.encode("a")) :]
+        # every id with each of the signs that may follow it
+        self.written = [f"{i}{sign}" for sign in ",|;" for i in range(max(self.sizes))]
+
+    def tokens(self, spaced: str) -> tuple[Ids, Ids] | None:
+        """Ids and byte ends of whole units, of which the first begins with a space; None if the bytes
+        of a side are others."""
+        b = self._b.encode(spaced[1:]) if len(spaced) > 1 else self._space
+        ids = self._a.encode(spaced).astype(np.int64), np.array(b, np.int64)
+        data = spaced.encode()
+        for own, table in zip(ids, self._bytes):
+            if b"".join(map(table.__getitem__, own.tolist())) != data:
                 return None
-            ends = np.cumsum([len(p) for p in parts]) + start
-            sides.append(list(zip(own, ends.tolist())))
-        return sides[0], sides[1]
+        return ids, tuple(np.cumsum(length[own]) for own, length in zip(ids, self._lengths))
 
 
-def _byte_level(tokenizer) -> list[bytes]:
-    from textmill.llm.public_bpe import _BYTE_SIGNS, _PRINTABLE
+@lru_cache(maxsize=1)
+def tokenizers_at(a_path: str, b_path: str) -> Tokenizers:
+    """Loaded once per worker process."""
+    return Tokenizers(a_path, b_path)
+
 
+def _byte_level(tokenizer) -> list[bytes]:
     byte_of = {chr(b): b for b in _PRINTABLE} | {chr(sign): b for b, sign in _BYTE_SIGNS.items()}
     table = [b""] * tokenizer.get_vocab_size()
     for token, i in tokenizer.get_vocab().items():
@@ -113,145 +108,169 @@ def _pieces(model) -> list[bytes]:
     return table
 
 
+def summed(keys: np.ndarray, times: np.ndarray) -> Ids:
+    """Distinct keys, rising, and the sums of their times."""
+    if not len(keys):
+        return keys, times
+    order = np.argsort(keys, kind="stable")
+    keys, times = keys[order], times[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[starts], np.add.reduceat(times, starts)
+
+
+class Groups:
+    """Closed groups of tokens whose ends rise and whose last ends are equal; ``owner`` tells for the
+    end of a group which text it belongs to."""
+
+    def __init__(self, ids: Ids, ends: Ids, tokenizers: Tokenizers, owner=None):
+        self._ids, self._tables = ids, tokenizers
+        common = np.intersect1d(*ends, assume_unique=True)
+        self._at = tuple(np.searchsorted(common, e) for e in ends)  # group of a token
+        self.sizes = tuple(np.bincount(at, minlength=len(common)) for at in self._at)
+        self.owner = np.zeros(len(common), np.int64) if owner is None else owner(common)
+
+    def text(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``Tokenizers.written`` in order, and the owner of each."""
+        (a, b), (at_a, at_b), (in_a, in_b) = self._ids, self._at, self.sizes
+        before_b = np.cumsum(in_b) - in_b
+        upto_a = np.cumsum(in_a)
+        v = max(self._tables.sizes)
+        codes = np.empty(len(a) + len(b), np.int64)
+        owner = np.empty(len(codes), np.int64)
+        for own, at, place, sign in ((a, at_a, np.arange(len(a)) + before_b[at_a], v), (b, at_b, np.arange(len(b)) + upto_a[at_b], 2 * v)):
+            last = np.append(at[1:] != at[:-1], True)
+            codes[place] = own + np.where(last, sign, 0)
+            owner[place] = self.owner[at]
+        return codes, owner
+
+    def numbers(self, texts: int = 1) -> np.ndarray:
+        """Per text: tokens of A, of B, groups, links."""
+        in_a, in_b = self.sizes
+        rows = np.zeros((texts, 4), np.int64)
+        for i, n in enumerate((in_a, in_b, np.ones_like(in_a), in_a * in_b)):
+            np.add.at(rows[:, i], self.owner, n)
+        return rows
+
+    def pairs(self, texts: int = 1) -> list[Ids]:
+        """Per text: linked pairs of ids, rising, and how often."""
+        (a, b), (at_a, _), (in_a, in_b) = self._ids, self._at, self.sizes
+        vb = self._tables.sizes[1]
+        span = self._tables.sizes[0] * vb
+        before = [np.cumsum(n) - n for n in self.sizes]
+        listed = in_a * in_b <= LISTED
+        mine = listed[at_a]
+        group = at_a[mine]
+        times = in_b[group]
+        inside = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        partner = b[np.repeat(before[1][group], times) + inside]
+        keys = [np.repeat(self.owner[group] * span + a[mine] * vb, times) + partner]
+        counts = [np.ones(len(keys[0]), np.int64)]
+        for g in np.flatnonzero(~listed):  # as long as the text may be, distinct ids are not
+            (x, n), (y, m) = (np.unique(own[first : first + size], return_counts=True)
+                              for own, first, size in zip((a, b), (before[0][g], before[1][g]), (in_a[g], in_b[g])))
+            keys.append((self.owner[g] * span + x[:, None] * vb + y[None, :]).ravel())
+            counts.append(np.outer(n, m).ravel())
+        keys, counts = summed(np.concatenate(keys), np.concatenate(counts))
+        pair = keys % span
+        pair = pair // vb * _PAIR + pair % vb
+        borders = np.searchsorted(keys, np.arange(texts + 1) * span)
+        return [(pair[p:q], counts[p:q]) for p, q in zip(borders[:-1], borders[1:])]
+
+
 class Fragment:
     """Open prefix, closed groups and open suffix of a byte range. Without a common end all tokens
-    are in ``prefix``. Closed groups are kept as text, numbers and pairs with multiplicity."""
+    are in ``prefix``. Closed groups are kept as text, numbers and pairs with their times."""
 
-    def __init__(self, prefix: Tokens = ((), ())):
-        self.prefix, self.suffix = (list(prefix[0]), list(prefix[1])), ([], [])
+    def __init__(self, prefix: Ids | None = None):
+        none = np.zeros(0, np.int64)
+        self.prefix, self.suffix = prefix or (none, none), (none, none)
         self.closed = False
         self.groups: list[str] = []
         self.numbers = np.zeros(4, np.int64)  # tokens of A, of B, groups, links
-        self.pairs: Counter = Counter()
+        self.pairs = (none, none)
 
     @classmethod
-    def of(cls, tokens: Tokens) -> Fragment:
-        made = cls()
-        spans, rest = _cut(tokens)
-        if not spans:
-            made.prefix = rest
-            return made
+    def of(cls, ids: Ids, ends: Ids, tokenizers: Tokenizers) -> Fragment:
+        common = np.intersect1d(*ends, assume_unique=True)
+        if not len(common):
+            return cls(ids)
+        first, last = ([int(np.searchsorted(e, c, side="right")) for e in ends] for c in (common[0], common[-1]))
         # what lies before the first common end may have begun further left
-        made.prefix, made.closed, made.suffix = spans[0], True, rest
-        made._close(spans[1:])
+        made = cls(tuple(x[:i] for x, i in zip(ids, first)))
+        made.closed, made.suffix = True, tuple(x[i:] for x, i in zip(ids, last))
+        made._close(*[tuple(x[i:j] for x, i, j in zip(xs, first, last)) for xs in (ids, ends)], tokenizers)
         return made
 
-    def _close(self, spans: list[Tokens]) -> None:
-        for a, b in spans:
-            self.groups.append(_written([i for i, _ in a], [i for i, _ in b]))
-            self.numbers += (len(a), len(b), 1, len(a) * len(b))
-            _count(self.pairs, [i for i, _ in a], [i for i, _ in b])
-
-    def __add__(self, other: Fragment) -> Fragment:
-        made = Fragment(self.prefix)
-        if not self.closed:
-            joined = _joined(self.prefix, other.prefix)
-            if not other.closed:
-                # still no common end, each side had none and ends differ between ranges
-                made.prefix = joined
-                return made
-            made.prefix, made.closed, made.suffix = joined, True, other.suffix
-        elif not other.closed:
-            made.closed, made.suffix = True, _joined(self.suffix, other.prefix)
-        else:
-            made.closed, made.suffix = True, other.suffix
+    def _close(self, ids: Ids, ends: Ids, tokenizers: Tokenizers) -> None:
+        if not len(ids[0]):
+            return
+        groups = Groups(ids, ends, tokenizers)
+        codes, _ = groups.text()
+        self.groups.append("".join(map(tokenizers.written.__getitem__, codes.tolist()))[:-1])
+        self.numbers = self.numbers + groups.numbers()[0]
+        self._add(groups.pairs()[0])
+
+    def _seam(self, ids: Ids, tokenizers: Tokenizers) -> None:
+        """One group that is closed now; its ends do not matter but for the last."""
+        self._close(ids, tuple(np.append(np.arange(len(x) - 1) * 2 + odd, 1 << 40) for odd, x in enumerate(ids)), tokenizers)
+
+    def _add(self, pairs: Ids) -> None:
+        self.pairs = summed(*(np.concatenate([x, y]) for x, y in zip(self.pairs, pairs)))
+
+    def plus(self, other: Fragment, tokenizers: Tokenizers) -> Fragment:
+        made = Fragment(self.prefix if self.closed else _joined(self.prefix, other.prefix))
+        made.closed = self.closed or other.closed
+        if other.closed:
+            made.suffix = other.suffix
+        elif self.closed:
+            made.suffix = _joined(self.suffix, other.prefix)
         made.groups += self.groups
-        made.numbers += self.numbers + other.numbers
-        made.pairs.update(self.pairs)
-        made.pairs.update(other.pairs)
+        made.numbers = self.numbers + other.numbers
+        made._add(self.pairs)
+        made._add(other.pairs)
         if self.closed and other.closed:
-            made._close([_joined(self.suffix, other.prefix)])
+            made._seam(_joined(self.suffix, other.prefix), tokenizers)
         made.groups += other.groups
         return made
 
-    def finished(self) -> Fragment:
-        """The fragment of a whole text: it begins and ends at common ends."""
+    def finished(self, tokenizers: Tokenizers) -> Fragment:
+        """The fragment of a whole text, which begins and ends at common ends."""
         made = Fragment()
         made.closed = True
-        first = [self.prefix] if any(self.prefix) else []
-        last = [self.suffix] if any(self.suffix) else []
-        made._close(first)
+        made._seam(self.prefix, tokenizers)
         made.groups += self.groups
-        made.numbers += self.numbers
-        made.pairs.update(self.pairs)
-        made._close(last)
+        made.numbers = made.numbers + self.numbers
+        made._add(self.pairs)
         return made
 
 
-def _joined(one: Tokens, two: Tokens) -> Tokens:
-    return [*one[0], *two[0]], [*one[1], *two[1]]
-
-
-def _cut(tokens: Tokens) -> tuple[list[Tokens], Tokens]:
-    """The spans that end at common ends, and the tokens behind the last one."""
-    a, b = tokens
-    common = sorted({e for _, e in a} & {e for _, e in b})
-    spans, i, j = [], 0, 0
-    for end in common:
-        p, q = i, j
-        while i < len(a) and a[i][1] <= end:
-            i += 1
-        while j < len(b) and b[j][1] <= end:
-            j += 1
-        spans.append((a[p:i], b[q:j]))
-    return spans, (a[i:], b[j:])
-
-
-def _written(a: list[int], b: list[int]) -> str:
-    return ",".join(map(str, a)) + "|" + ",".join(map(str, b))
-
-
-def _count(pairs: Counter, a: list[int], b: list[int]) -> None:
-    if len(a) == 1 and len(b) == 1:
-        pairs[a[0] * _PAIR + b[0]] += 1
-        return
-    # a group may be as long as the text, its distinct ids are not
-    right = Counter(b)
-    for x, n in Counter(a).items():
-        for y, m in right.items():
-            pairs[x * _PAIR + y] += n * m
-
-
-class Units(dict):
-    """Closed fragments of whole units, computed once per task: unit -> text of its groups."""
-
-    def __init__(self, tokenizers: Tokenizers):
-        self.tokenizers = tokenizers
-        self.numbers: dict[str, tuple] = {}
-        self.chars = 0
-
-    def __missing__(self, unit: str) -> str | None:
-        self.chars += len(unit)
-        tokens = self.tokenizers.tokens(unit)
-        if tokens is None:
-            self[unit] = None
-            return None
-        made = Fragment.of(tokens).finished()
-        self.numbers[unit] = (made.numbers, np.array(list(made.pairs), np.int64), np.array(list(made.pairs.values()), np.int64))
-        self[unit] = text = ";".join(made.groups)
-        return text
-
-    def document(self, text: str | None):
-        """``numbers, groups, pairs, times`` of a text; None if it has no tokens."""
-        if not text:
-            return None
-        if len(self) > CACHED_UNITS or self.chars > CACHED_CHARS:
-            self.clear()
-            self.numbers.clear()
-            self.chars = 0
-        units = _CUT.split(" " + text)
-        written = list(map(self.__getitem__, units))
-        if None in written:
-            return None
-        numbers = np.zeros(4, np.int64)
-        pairs, times = [], []
-        for unit, n in Counter(units).items():
-            own, keys, counts = self.numbers[unit]
-            numbers += own * n
-            pairs.append(keys)
-            times.append(counts * n)
-        pairs, inverse = np.unique(np.concatenate(pairs), return_inverse=True)
-        return numbers, ";".join(written), pairs, np.bincount(inverse, np.concatenate(times)).astype(np.int64)
+def _joined(one: Ids, two: Ids) -> Ids:
+    return tuple(np.concatenate([x, y]) for x, y in zip(one, two))
+
+
+def aligned(texts: list[str | None], tokenizers: Tokenizers) -> list[tuple | None]:
+    """``numbers, groups, pairs, times`` of whole texts; None for one without tokens."""
+    found: list[tuple | None] = [None] * len(texts)
+    owners, ids, ends, start = [], [], [], [0]
+    for i, text in enumerate(texts):
+        tokens = tokenizers.tokens(" " + text) if text else None
+        if tokens:
+            owners.append(i)
+            ids.append(tokens[0])
+            ends.append(tuple(e + start[-1] for e in tokens[1]))
+            start.append(int(ends[-1][0][-1]))
+    if not owners:
+        return found
+    last = np.array(start[1:])
+    joined = [tuple(map(np.concatenate, zip(*x))) for x in (ids, ends)]
+    groups = Groups(*joined, tokenizers, lambda common: np.searchsorted(last, common))
+    codes, owner = groups.text()
+    written = list(map(tokenizers.written.__getitem__, codes.tolist()))
+    borders = np.searchsorted(owner, np.arange(len(owners) + 1))
+    numbers, pairs = groups.numbers(len(owners)), groups.pairs(len(owners))
+    for k, i in enumerate(owners):
+        found[i] = (numbers[k], "".join(written[borders[k] : borders[k + 1]])[:-1], *pairs[k])
+    return found
 
 
 def ranges(text: str, size: int) -> list[tuple[int, int, int, int]]:
@@ -262,7 +281,7 @@ def ranges(text: str, size: int) -> list[tuple[int, int, int, int]]:
     for border in range(size, len(text), size):
         after = cuts[np.searchsorted(cuts, border)]
         before = cuts[np.searchsorted(cuts, border, side="right") - 1]
-        if after - before <= size and border > borders[-1]:
+        if after - before <= size:
             borders.append(border)
     borders.append(len(text))
     return [
@@ -291,28 +310,36 @@ def _aligned(documents: DataFrame, doc_id: str, text: str, a_path: str, b_path:
     schema = StructType([StructField(n, t) for n, t in own.items()] + StructType.fromDDL(_RESULT).fields)
 
     def run(batches):
-        units = None
+        tokenizers = tokenizers_at(a_path, b_path)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            units = units or Units(Tokenizers(a_path, b_path))
-            # long texts have rows of their own, so that no batch grows with them
-            out: list[tuple] = []
+            id_type = batch.schema.field(0).type
+            held: list[tuple] = []
+            chars = 0
+
+            def done():
+                results = aligned([t for _, _, t in held], tokenizers)
+                rows = [(r, own, None, None, None, None, one) for (r, own, _), one in zip(held, results)]
+                held.clear()
+                return _batch(rows, id_type)
+
             for own, value in zip(batch.column(0), batch.column(1)):
                 value = value.as_py()
                 if value is not None and len(value) > long:
-                    if out:
-                        yield _batch(out, batch.schema.field(0).type)
-                        out = []
+                    # ranges are rows of their own, so that no batch grows with the text
                     whole = " " + value
                     for part, (first, begin, end, last) in enumerate(ranges(whole, size)):
-                        skip = len(whole[first:begin].encode())
-                        keep = len(whole[begin:end].encode())
-                        yield _batch([(row, own, part, skip, keep, whole[first:last], None)], batch.schema.field(0).type)
+                        skip, keep = len(whole[first:begin].encode()), len(whole[begin:end].encode())
+                        yield _batch([(row, own, part, skip, keep, whole[first:last], None)], id_type)
                 else:
-                    out.append((row, own, None, None, None, None, units.document(value)))
+                    held.append((row, own, value))
+                    chars += len(value or "")
                 row += 1
-            if out:
-                yield _batch(out, batch.schema.field(0).type)
+                if chars > TOGETHER:
+                    yield done()
+                    chars = 0
+            if held:
+                yield done()
 
     def _batch(rows, id_type):
         done = [r[6] for r in rows]
@@ -342,25 +369,20 @@ def _packed(row: int, part: int, fragment: Fragment | None) -> dict:
     f = fragment or Fragment()
     return {
         "row": row, "part": part, "ok": fragment is not None, "closed": f.closed,
-        "prefix": _flat(f.prefix), "suffix": _flat(f.suffix), "groups": ";".join(f.groups),
-        "numbers": f.numbers.tolist(), "pairs": list(f.pairs), "times": list(f.pairs.values()),
+        "prefix": [x.tolist() for x in f.prefix], "suffix": [x.tolist() for x in f.suffix], "groups": ";".join(f.groups),
+        "numbers": f.numbers.tolist(), "pairs": f.pairs[0].tolist(), "times": f.pairs[1].tolist(),
     }
 
 
-def _flat(tokens: Tokens) -> list[list[int]]:
-    return [[t[k] for t in side] for side in tokens for k in (0, 1)]
-
-
 def _unpacked(row) -> Fragment | None:
     if not row.ok:
         return None
     made = Fragment()
-    ends = [[list(map(int, side)) for side in tokens] for tokens in (row.prefix, row.suffix)]
-    made.prefix, made.suffix = [(list(zip(e[0], e[1])), list(zip(e[2], e[3]))) for e in ends]
+    made.prefix, made.suffix = (tuple(np.array(side, np.int64) for side in sides) for sides in (row.prefix, row.suffix))
     made.closed = bool(row.closed)
     made.groups = [row.groups] if row.groups else []
     made.numbers = np.array(row.numbers, np.int64)
-    made.pairs = Counter(dict(zip(map(int, row.pairs), map(int, row.times))))
+    made.pairs = np.array(row.pairs, np.int64), np.array(row.times, np.int64)
     return made
 
 
@@ -368,16 +390,17 @@ def _composed(chunks: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """Results of the long texts, as rows of ``_RESULT`` with ``row``."""
 
     def run(batches):
-        tokenizers = None
+        tokenizers = tokenizers_at(a_path, b_path)
         for batch in batches:
-            tokenizers = tokenizers or Tokenizers(a_path, b_path)
             for one in batch.to_pylist():
-                # ends count from the range on, ranges follow each other by their number
-                tokens = tokenizers.tokens(one["range"], -one["skip"])
+                tokens = tokenizers.tokens(one["range"])
                 fragment = None
                 if tokens is not None:
-                    inside = tuple([t for t in side if 0 < t[1] <= one["keep"]] for side in tokens)
-                    fragment = Fragment.of(inside)
+                    # ends count from the range on; a range has the tokens that end in it
+                    ends = tuple(e - one["skip"] for e in tokens[1])
+                    inside = [(e > 0) & (e <= one["keep"]) for e in ends]
+                    ids, ends = (tuple(x[m] for x, m in zip(xs, inside)) for xs in (tokens[0], ends))
+                    fragment = Fragment.of(ids, ends, tokenizers)
                 yield pa.RecordBatch.from_pylist([_packed(one["row"], one["part"], fragment)], schema=arrow)
 
     arrow, result_arrow = (to_arrow_schema(StructType.fromDDL(s)) for s in (_FRAGMENT, "row bigint, " + _RESULT))
@@ -386,13 +409,13 @@ def _composed(chunks: DataFrame, a_path: str, b_path: str) -> DataFrame:
     fragments = stage_table(spread.mapInArrow(run, _FRAGMENT), "fragments")
 
     def compose(group: pd.DataFrame) -> pd.DataFrame:
-        total, ok = None, True
+        total, ok, tokenizers = None, True, tokenizers_at(a_path, b_path)
         for one in group.sort_values("part").itertuples():
             fragment = _unpacked(one)
             ok = ok and fragment is not None
             if not ok:
                 break
-            total = fragment if total is None else total + fragment
+            total = fragment if total is None else total.plus(fragment, tokenizers)
         row, part = int(group["row"].iloc[0]), int(group["part"].min()) // FAN
         return pd.DataFrame([_packed(row, part, total if ok else None)])
 
@@ -404,15 +427,16 @@ def _composed(chunks: DataFrame, a_path: str, b_path: str) -> DataFrame:
         most //= FAN
 
     def finish(batches):
+        tokenizers = tokenizers_at(a_path, b_path)
         for batch in batches:
             rows = []
             for one in pd.DataFrame(batch.to_pylist()).itertuples() if batch.num_rows else ():
                 whole = _unpacked(one)
-                whole = whole and whole.finished()
+                whole = whole and whole.finished(tokenizers)
                 rows.append({
                     "row": one.row, **dict(zip(_NUMBERS, whole.numbers.tolist() if whole else [0] * 4)),
                     "groups_sha256": hashlib.sha256(";".join(whole.groups).encode()).hexdigest() if whole else "",
-                    "pairs": list(whole.pairs) if whole else [], "times": list(whole.pairs.values()) if whole else [],
+                    "pairs": whole.pairs[0].tolist() if whole else [], "times": whole.pairs[1].tolist() if whole else [],
                 })
             yield pa.RecordBatch.from_pylist(rows, schema=result_arrow)
 
