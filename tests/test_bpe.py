@@ -113,6 +113,33 @@ def test_batched_merges_equal_one_at_a_time(spark, seed, candidates):
     assert got.merges == greedy(words, 256 + 14, max_bytes=6)
 
 
+def test_thousands_of_tied_pairs(spark):
+    """Far more pairs of count 2 than the driver fetches: the cut lies inside their level."""
+    rng = random.Random(7)
+    words = {"".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+-", k=4)): 2 for _ in range(2000)}
+    table = spark.createDataFrame(list(words.items()), "word string, freq bigint")
+    got = bpe.train_merges(table, 256 + 40, candidates=16)
+    assert got.merges == greedy(words, 256 + 40)
+    assert len(got.best) <= 32
+
+
+def test_rounds_read_the_listed_words_only(spark):
+    rng = random.Random(8)
+    words = {"".join(rng.choices("abcdefghij", weights=range(1, 11), k=rng.randint(2, 9))): rng.randint(1, 9) for _ in range(600)}
+    table = spark.createDataFrame(list(words.items()), "word string, freq bigint")
+    got = bpe.train_merges(table, 256 + 60)
+    assert got.merges == greedy(words, 256 + 60)
+    read = [r.words_read for r in bpe.training_rounds(spark, got).orderBy("round").collect()]
+    late = read[len(read) // 2 :]
+    assert max(read) <= len(words) and sum(late) / len(late) < sum(read) / len(read) < len(words) / 4
+
+
+def test_pairs_are_listed_where_their_halves_meet():
+    order = bpe.MergeOrder(300, 2, 30)
+    order.parts = {"X": "ab", "Y": "Xc", "Z": "dY"}
+    assert order.indexed("ab") == "ab" and order.indexed("Yd") == "cd" and order.indexed("ZX") == "ca" and order.indexed("eZ") == "ed"
+
+
 def test_training_stops_without_frequent_pairs(spark):
     table = spark.createDataFrame([("ab", 1), ("cd", 1)], "word string, freq bigint")
     assert bpe.train_merges(table, 300).merges == []
@@ -174,11 +201,11 @@ def test_word_and_pair_counts(spark):
 def test_a_second_way_to_spell_a_token_runs_alone_in_its_turn():
     from collections import namedtuple
 
-    row, change = namedtuple("row", "pair n"), namedtuple("change", "pair delta")
+    row, change = namedtuple("row", "pair n"), namedtuple("change", "pair delta fresh", defaults=[True])
     at = {b: bpe.symbol_char(i) for i, b in enumerate(bpe.ALPHABET)}
     a, b, c, p, q = (at[ord(x)] for x in "abcpq")
     order = bpe.MergeOrder(270, 2, 30)
-    assert order.load([row(a + b, 10), row(b + c, 8), row(p + q, 2)], True)
+    order.load([row(a + b, 10), row(b + c, 8), row(p + q, 2)])
     batch, raises = order.next_batch()
     assert [pair for pair, _ in batch] == [a + b, p + q] and not raises
     ab = batch[0][1]

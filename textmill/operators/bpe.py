@@ -8,12 +8,12 @@ without overlap, and pair keys are two-character strings whose order is the orde
 from __future__ import annotations
 
 from collections import defaultdict
+from functools import reduce
 from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from textmill.functions.text import byte_text, coalesce_text, nfkc, pre_split
-from textmill.operators.order import spread
 from textmill.sources.tables import Vocabulary
 from textmill.storage import drop_path, stage_path, stage_table
 
@@ -40,8 +40,12 @@ ADDED_SCHEMA = (
     "id int, token string, special boolean, normalized boolean, unk boolean, pad boolean, eos boolean"
 )
 
+#: Pairs the driver fetches at a time, whatever the number of pairs.
 CANDIDATES = 20_000
+#: Merges replayed in one pass over the words.
 MERGES_PER_STAGE = 64
+#: The index is built anew after this many merges, or when rounds have read the words this often.
+MERGES_PER_INDEX, READS_PER_INDEX = 256, 4
 
 
 def printable_byte(b: int) -> str:
@@ -143,9 +147,10 @@ def pair_counts(words: DataFrame, min_freq: int = MIN_FREQUENCY) -> DataFrame:
 class MergeOrder:
     """Driver side of the merge loop: best pairs, applied merges, vocabulary.
 
-    ``best`` has the exact count of every pair that is more frequent than ``floor``. Counts of known
-    pairs only fall and pairs with a new symbol arrive with their exact count, so this stays true
-    from one full count to the next.
+    Pairs rank by (count, ids). ``best`` has the exact count of every pair that ranks before ``cut``.
+    Counts of known pairs only fall and pairs with a new symbol arrive with their exact count, so this
+    stays true from one full count to the next. The cut may lie inside a level of equally frequent
+    pairs, and it is moved up whenever ``best`` grows beyond twice ``candidates``.
 
     A pair may be merged at once if it ranks before every other pair that shares a symbol with it.
     Nothing can then change its count before its turn: merges of pairs that share no symbol leave
@@ -157,8 +162,9 @@ class MergeOrder:
     runs alone, in its turn; merges applied ahead of it are taken back first.
     """
 
-    def __init__(self, vocab_size: int, min_freq: int, max_bytes: int):
+    def __init__(self, vocab_size: int, min_freq: int, max_bytes: int, candidates: int = CANDIDATES):
         self.vocab_size, self.min_freq, self.max_bytes = vocab_size, min_freq, max_bytes
+        self.candidates = candidates
         self.tokens = [bytes([b]) for b in ALPHABET]
         self.merges: list[tuple[int, int, int]] = []
         self.replayed: list[tuple[str, str]] = []  # settled merges as replacements
@@ -167,8 +173,10 @@ class MergeOrder:
         self.id_of = {symbol_char(i): i for i in range(len(self.tokens))}
         self.made = len(self.tokens)
         self.applied: dict[str, tuple[int, str]] = {}
+        self.parts: dict[str, str] = {}  # symbol -> its pair, for symbols made since the last index
         self.best: dict[str, int] = {}
-        self.floor, self.complete = 0, False
+        self.cut: tuple[int, float, float] | None = None  # key of the last known pair; None: all are known
+        self.rounds: list[tuple[int, int]] = []  # merges, words read
 
     def joined(self, pair: str) -> bytes:
         return self.bytes_of[pair[0]] + self.bytes_of[pair[1]]
@@ -176,15 +184,35 @@ class MergeOrder:
     def full(self) -> bool:
         return len(self.tokens) >= self.vocab_size
 
-    def load(self, rows, complete: bool) -> bool:
-        """Take a full count; False if all of a cut-off list ties, so a longer one is needed."""
-        self.complete = complete
-        self.floor = self.min_freq - 1 if complete else rows[-1].n
-        self.best = {r.pair: r.n for r in rows if r.n > self.floor}
-        return complete or bool(self.best)
+    def key(self, pair: str, n: int) -> tuple[int, float, float]:
+        """Place in the ranking; the ids of open symbols will be larger than all others."""
+        return (-n, *(self.id_of.get(c, float("inf")) for c in pair))
+
+    def load(self, rows) -> None:
+        """Take the first ``candidates`` pairs of a full count, when every symbol has its id."""
+        self.best = {r.pair: r.n for r in rows}
+        self.cut = None if len(rows) < self.candidates else self.key(rows[-1].pair, rows[-1].n)
+
+    @property
+    def least(self) -> int:
+        """The lowest count a pair of ``best`` may have."""
+        return self.min_freq if self.cut is None else max(self.min_freq, -self.cut[0])
 
     def wanted(self, pair: str, n: int) -> bool:
-        return n > self.floor and len(self.joined(pair)) <= self.max_bytes
+        if n < self.min_freq or len(self.joined(pair)) > self.max_bytes:
+            return False
+        return self.cut is None or self.key(pair, n) <= self.cut
+
+    def _cut_at(self, key: tuple[int, float, float]) -> None:
+        self.cut = key
+        self.best = {p: n for p, n in self.best.items() if self.key(p, n) <= key}
+
+    def _shorten(self) -> None:
+        """Move the cut up to a pair of settled symbols, or before a whole level."""
+        if len(self.best) > 2 * self.candidates:
+            ranked = sorted(self.key(p, n) for p, n in self.best.items())[: self.candidates]
+            settled = [k for k in ranked if k[2] != float("inf")]
+            self._cut_at(settled[-1] if settled else (ranked[-1][0], -1, -1))
 
     def settled(self, pair: str) -> bool:
         return all(c in self.id_of for c in pair)
@@ -266,6 +294,7 @@ class MergeOrder:
         self.made += 1
         self.bytes_of[made] = self.joined(pair)
         self.char_of[self.bytes_of[made]] = made
+        self.parts[made] = pair
         self.applied[pair] = (self.best.pop(pair), made)
         return made
 
@@ -276,17 +305,32 @@ class MergeOrder:
         self._record(pair, made)
         return [(pair, made)], True
 
-    def update(self, deltas) -> None:
-        for row in deltas:
+    def update(self, changes) -> None:
+        """Take the changes of a round: all of known pairs, and the largest of new ones."""
+        fresh = [row for row in changes if row.fresh]
+        if len(fresh) == self.candidates:  # there may be more that are no more frequent than the last
+            self._cut_at((-fresh[-1].delta, -1, -1))
+        for row in changes:
             n = self.best.pop(row.pair, 0) + row.delta
             if self.wanted(row.pair, n):
                 self.best[row.pair] = n
+        self._shorten()
 
     def touched(self, batch: list[tuple[str, str]]) -> list[str]:
         lefts = {pair[0] for pair, _ in batch}
         rights = {pair[1] for pair, _ in batch}
         return [p for p in self.best if p[0] in rights or p[1] in lefts]
 
+    def indexed(self, pair: str) -> str:
+        """The pair of symbols of the last index that stands where the two halves of ``pair`` meet:
+        every word that holds ``pair`` is listed there."""
+        left, right = pair
+        while left in self.parts:
+            left = self.parts[left][1]
+        while right in self.parts:
+            right = self.parts[right][0]
+        return left + right
+
 
 def _literal_list(values: list[str]) -> Column:
     """One literal for the whole list, so the plan has the same shape, and the same generated
@@ -311,36 +355,56 @@ def _merged(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     return words.select(F.explode(chain).alias("symbols"), "freq")
 
 
-def _top_pairs(words: DataFrame, order: MergeOrder, limit: int):
-    """The most frequent pairs that are short enough, and whether these are all."""
-    sizes = words.sparkSession.createDataFrame(
-        [(c, len(t)) for c, t in order.bytes_of.items()], "symbol string, size int"
+def pair_index(words: DataFrame) -> DataFrame:
+    """``pair, symbols, freq``: every word once for each distinct pair it holds, sorted by pair. A pair
+    of very many words lies in several partitions."""
+    pairs = _with_chars(words).select(_exploded(F.array_distinct(_pairs(F.col("chars"))), "pair"), "symbols", "freq")
+    kept = pairs.filter("pair is not null")
+    return kept.repartitionByRange("pair", "symbols").sortWithinPartitions("pair", "symbols")
+
+
+def _listed(index: DataFrame, pairs: list[str]) -> DataFrame:
+    """The words listed for ``pairs``, each once: where the first of these pairs that it holds is
+    listed. Blocks of the index without any of the pairs are skipped by their bounds."""
+    padded = sorted(pairs) + [max(pairs)] * (-len(pairs) % 16)  # few shapes of plans
+    some = reduce(Column.__or__, [F.col("pair") == p for p in padded])
+    first = F.get(F.filter(_literal_list(sorted(pairs)), lambda p: F.contains("symbols", p)), F.lit(0))
+    return index.filter(some).filter(F.col("pair") == first).select("symbols", "freq")
+
+
+def _top_pairs(words: DataFrame, order: MergeOrder):
+    """The first pairs in the ranking by (count, ids) that are short enough."""
+    symbols = words.sparkSession.createDataFrame(
+        [(c, len(t), order.id_of[c]) for c, t in order.bytes_of.items()], "symbol string, size int, id int"
     )
 
-    def size_of(side: str) -> DataFrame:
-        return F.broadcast(sizes.select(F.col("symbol").alias(side), F.col("size").alias(f"{side}_size")))
+    def side(name: str) -> DataFrame:
+        columns = [F.col("symbol").alias(name), F.col("size").alias(f"{name}_size"), F.col("id").alias(f"{name}_id")]
+        return F.broadcast(symbols.select(*columns))
 
-    rows = (
+    return (
         pair_freq(words)
         .filter(F.col("n") >= order.min_freq)
         .withColumn("left", F.substring("pair", 1, 1))
         .withColumn("right", F.substring("pair", 2, 1))
-        .join(size_of("left"), "left")
-        .join(size_of("right"), "right")
+        .join(side("left"), "left")
+        .join(side("right"), "right")
         .filter(F.col("left_size") + F.col("right_size") <= order.max_bytes)
-        .orderBy(F.desc("n"), "pair")
+        .orderBy(F.desc("n"), "left_id", "right_id")
         .select("pair", "n")
-        .limit(limit)
+        .limit(order.candidates)
         .collect()
     )
-    return rows, len(rows) < limit
 
 
-def _deltas(words: DataFrame, batch: list[tuple[str, str]], order: MergeOrder):
-    """Changes of pair counts caused by ``batch``, from the words that hold one of its pairs.
+def _changes(words: DataFrame, batch: list[tuple[str, str]], order: MergeOrder):
+    """Changes of pair counts caused by ``batch`` in ``words``: ``pair, delta, fresh``, those of known
+    pairs and the ``candidates`` largest of new ones; and the number of words read.
 
     Only pairs with a symbol of the batch can change, so the others are dropped before counting.
     """
+    seen = Observation()
+    words = words.observe(seen, F.count(F.lit(1)).alias("words"))
     pairs_merged = _literal_list([pair for pair, _ in batch])
     changed = words.filter(F.exists(pairs_merged, lambda p: F.contains("symbols", p)))
     old = F.struct(F.split("symbols", "").alias("chars"), (-F.col("freq")).alias("delta"))
@@ -352,17 +416,21 @@ def _deltas(words: DataFrame, batch: list[tuple[str, str]], order: MergeOrder):
     )
     involved = "".join(sorted({c for pair, made in batch for c in pair + made}))
     fresh = F.translate("pair", "".join(made for _, made in batch), "") != F.col("pair")
-    kept = fresh & (F.col("delta") > order.floor)
+    kept = fresh & (F.col("delta") >= order.least)
     touched = order.touched(batch)
     if touched:
         kept = kept | F.array_contains(_literal_list(touched), F.col("pair"))
-    return (
+    rows = (
         pairs.filter(F.translate("pair", involved, "") != F.col("pair"))
         .groupBy("pair")
         .agg(F.sum("delta").alias("delta"))
         .filter((F.col("delta") != 0) & kept)
+        .withColumn("fresh", fresh)
+        .orderBy("fresh", F.desc("delta"))
+        .limit(len(touched) + order.candidates)
         .collect()
     )
+    return rows, seen.get["words"]
 
 
 def train_merges(
@@ -374,17 +442,19 @@ def train_merges(
 ) -> MergeOrder:
     """Greedy merges over a ``word, freq`` table until ``symbols_wanted`` symbols exist.
 
-    A full pair count fetches the best ``candidates`` pairs; after that, each round reads only the
-    words that hold a pair of its batch and fetches the changed counts. Merges are applied on the
-    fly to the persisted word table; every few rounds, and before each full count, the result is
-    written to the shared folder and replaces it.
+    A full pair count fetches the first ``candidates`` pairs. After that a round reads the words that the
+    index lists for its pairs, and fetches the changed counts. The index is not written between two
+    builds: words are listed as they were then, the merges since are replayed on the listed words,
+    and words that no longer hold the pair drop out. After ``MERGES_PER_INDEX`` merges, when rounds
+    have read ``READS_PER_INDEX`` times the words, and before a full count, all words are brought up
+    to date in the shared folder and listed anew.
     """
     spark = words.sparkSession
-    order = MergeOrder(symbols_wanted, min_freq, max_token_length)
+    order = MergeOrder(symbols_wanted, min_freq, max_token_length, candidates)
 
-    def staged(table: DataFrame) -> tuple[str, DataFrame]:
-        path = stage_path(spark, "words")
-        return path, spread(stage_table(table, "words", path), ["symbols"])
+    def staged(table: DataFrame, name: str = "words") -> tuple[str, DataFrame]:
+        path = stage_path(spark, name)
+        return path, stage_table(table, name, path)
 
     def refolded(start: DataFrame, merges: list[tuple[str, str]], keep: str) -> tuple[str, DataFrame]:
         """Write ``start`` after ``merges``, a bounded number of them at a time."""
@@ -397,57 +467,72 @@ def train_merges(
         return path, table
 
     origin, first = staged(word_symbols(words))
-    path, base = origin, first.persist()
+    total = first.count()
+    path, base = origin, first
+    index_path, index = None, None
     pending: list[tuple[str, str]] = []
-    recount = True
+    reads, recount, stale = 0, True, True
     while True:
         order.settle()
         if order.full():
             break
-        if recount or len(pending) >= MERGES_PER_STAGE:
-            base.unpersist()
+        if not recount and not order.best:
+            if order.cut is None:
+                break
+            recount = stale = True
+        if len(pending) >= MERGES_PER_INDEX or reads > READS_PER_INDEX * total:
+            stale = True
+        if stale:
             old = path
             path, base = refolded(base, pending, path)
-            base.persist()
-            pending = []
             if old not in (origin, path):
                 drop_path(spark, old)
+            if index is not None:
+                index.unpersist()
+                drop_path(spark, index_path)
+                index = None
+            pending, reads, stale = [], 0, False
+            order.parts = {}
         if recount:
-            rows, complete = _top_pairs(base, order, candidates)
-            if rows and not order.load(rows, complete):
-                candidates *= 2
-                continue
-            if not rows:
-                order.best, order.complete = {}, True
+            order.load(_top_pairs(base, order))
             recount = False
             continue
-        if not order.best:
-            if order.complete:
-                break
-            recount = True
-            continue
+        if index is None:
+            index_path, index = staged(pair_index(base), "index")
+            index.persist()
         batch, raises = order.next_batch()
         if raises and not batch:
             order.take_back()
-            base.unpersist()
             old = path
             path, base = refolded(first, order.replayed, origin)
-            base.persist()
-            pending, recount = [], True
+            pending, recount, stale = [], True, True
             if old not in (origin, path):
                 drop_path(spark, old)
             continue
         if raises:
-            recount = True
+            recount = stale = True
         else:
-            order.update(_deltas(_merged(base, pending), batch, order))
+            # pairs of symbols made in this batch do not occur yet
+            words_listed = _listed(index, list({order.indexed(pair) for pair, _ in batch}))
+            changes, read = _changes(_merged(words_listed, pending), batch, order)
+            order.update(changes)
+            order.rounds.append((len(batch), read))
+            reads += read
         pending += batch
-    base.unpersist()
+    if index is not None:
+        index.unpersist()
+        drop_path(spark, index_path)
     for used in {origin, path}:
         drop_path(spark, used)
     return order
 
 
+def training_rounds(spark: SparkSession, trained: MergeOrder) -> DataFrame:
+    """``round, merges, words_read`` of a training."""
+    rows = [(i, merges, read) for i, (merges, read) in enumerate(trained.rounds)]
+    return spark.createDataFrame(rows, "round int, merges int, words_read bigint").coalesce(1)
+
+
 def assemble_vocab(spark: SparkSession, trained: MergeOrder) -> Vocabulary:
     """Trained tokens with ids in training order, then the added tokens."""
     learned = [
