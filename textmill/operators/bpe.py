@@ -14,6 +14,7 @@ from itertools import groupby
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from textmill.functions.text import byte_text, coalesce_text, nfkc, pre_split
+from textmill.operators.order import spread
 from textmill.sources.tables import Vocabulary
 from textmill.storage import drop_path, stage_path, stage_table
 
@@ -44,6 +45,8 @@ ADDED_SCHEMA = (
 CANDIDATES = 20_000
 #: Merges replayed in one pass over the words.
 MERGES_PER_STAGE = 64
+#: The first merges are found in most words: so many are made on the words themselves.
+MERGES_WITHOUT_INDEX = 64
 #: The index is built anew after this many merges, or when rounds have read the words this often.
 MERGES_PER_INDEX, READS_PER_INDEX = 256, 4
 
@@ -368,7 +371,7 @@ def _listed(index: DataFrame, pairs: list[str]) -> DataFrame:
     listed. Blocks of the index without any of the pairs are skipped by their bounds."""
     padded = sorted(pairs) + [max(pairs)] * (-len(pairs) % 16)  # few shapes of plans
     some = reduce(Column.__or__, [F.col("pair") == p for p in padded])
-    first = F.get(F.filter(_literal_list(sorted(pairs)), lambda p: F.contains("symbols", p)), F.lit(0))
+    first = F.coalesce(*[F.when(F.contains("symbols", F.lit(p)), F.lit(p)) for p in padded])
     return index.filter(some).filter(F.col("pair") == first).select("symbols", "freq")
 
 
@@ -443,7 +446,7 @@ def train_merges(
     """Greedy merges over a ``word, freq`` table until ``symbols_wanted`` symbols exist.
 
     A full pair count fetches the first ``candidates`` pairs. After that a round reads the words that the
-    index lists for its pairs, and fetches the changed counts. The index is not written between two
+    index lists for its pairs (the first few all words), and fetches the changed counts. The index is not written between two
     builds: words are listed as they were then, the merges since are replayed on the listed words,
     and words that no longer hold the pair drop out. After ``MERGES_PER_INDEX`` merges, when rounds
     have read ``READS_PER_INDEX`` times the words, and before a full count, all words are brought up
@@ -469,7 +472,7 @@ def train_merges(
     origin, first = staged(word_symbols(words))
     total = first.count()
     path, base = origin, first
-    index_path, index = None, None
+    index_path, source = None, None  # the index, or the words where there is no path
     pending: list[tuple[str, str]] = []
     reads, recount, stale = 0, True, True
     while True:
@@ -480,26 +483,31 @@ def train_merges(
             if order.cut is None:
                 break
             recount = stale = True
-        if len(pending) >= MERGES_PER_INDEX or reads > READS_PER_INDEX * total:
+        if source is not None and index_path is None:
+            stale = stale or len(pending) >= MERGES_WITHOUT_INDEX
+        elif len(pending) >= MERGES_PER_INDEX or reads > READS_PER_INDEX * total:
             stale = True
         if stale:
+            if source is not None:
+                source.unpersist()
+            if index_path is not None:
+                drop_path(spark, index_path)
+            index_path, source = None, None
             old = path
             path, base = refolded(base, pending, path)
             if old not in (origin, path):
                 drop_path(spark, old)
-            if index is not None:
-                index.unpersist()
-                drop_path(spark, index_path)
-                index = None
             pending, reads, stale = [], 0, False
             order.parts = {}
         if recount:
             order.load(_top_pairs(base, order))
             recount = False
             continue
-        if index is None:
-            index_path, index = staged(pair_index(base), "index")
-            index.persist()
+        if source is None:
+            source = spread(base, ["symbols"])
+            if len(order.replayed) + len(order.applied) >= MERGES_WITHOUT_INDEX:
+                index_path, source = staged(pair_index(base), "index")
+            source.persist()
         batch, raises = order.next_batch()
         if raises and not batch:
             order.take_back()
@@ -513,14 +521,17 @@ def train_merges(
             recount = stale = True
         else:
             # pairs of symbols made in this batch do not occur yet
-            words_listed = _listed(index, list({order.indexed(pair) for pair, _ in batch}))
-            changes, read = _changes(_merged(words_listed, pending), batch, order)
+            listed = source
+            if index_path is not None:
+                listed = _listed(source, list({order.indexed(pair) for pair, _ in batch}))
+            changes, read = _changes(_merged(listed, pending), batch, order)
             order.update(changes)
             order.rounds.append((len(batch), read))
             reads += read
         pending += batch
-    if index is not None:
-        index.unpersist()
+    if source is not None:
+        source.unpersist()
+    if index_path is not None:
         drop_path(spark, index_path)
     for used in {origin, path}:
         drop_path(spark, used)
