@@ -3,8 +3,10 @@ from pyspark.sql import functions as F
 
 from textmill.operators.dedup import dedup_first, quality_and_unique
 from textmill.operators.filters import select_rows
+from textmill.operators import order as ordering
 from textmill.operators.order import with_start
 from textmill.plans.jobs import prepare_corpus
+from textmill.sources import corpus
 from textmill.sources.corpus import CORPUS_ORDER, Source, read_corpus, read_source, slice_rows
 
 
@@ -217,3 +219,49 @@ def test_user_filter_runs_before_deduplication(spark, tmp_path):
     keep = lambda df: filter_batches(df, lambda rows: rows["text"].str.endswith("b"), ["text"])
     got = prepare_corpus(spark, source, keep=keep, exact=True).collect()
     assert [(r.row, r.text) for r in got] == [(1, LONG + "b")]
+
+
+def test_one_odd_file_among_many_numbered_ones_is_found(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(300):
+        (folder / f"shard.{i:05d}.csv").write_text(f"text\nrow {i}\n")
+    assert read_source(spark, str(folder)).count() == 300
+    (folder / "shard.00150.jsonl").write_text('{"text": "odd"}\n')
+    with pytest.raises(ValueError, match="mixed or unknown"):
+        read_source(spark, str(folder))
+    plain = tmp_path / "plain"
+    plain.mkdir()
+    (plain / "notes").write_text("no ending")
+    with pytest.raises(ValueError, match="mixed or unknown"):
+        read_source(spark, str(plain))
+
+
+def test_names_stand_for_formats(spark):
+    names = {"a/B.PARQUET": "parquet", "x.00001.csv": "csv", "x.json.gz": "json", "x.jsonl.zst": "json", "a.csv/part": None, "x.csv.bak": None, "t.txt": "text", ".csv": "csv"}
+    table = spark.createDataFrame(list(names.items()), "name string, format string")
+    assert {r[0]: r[1] for r in table.select("name", corpus._format_in(table.name)).collect()} == names
+
+
+@pytest.mark.parametrize("fan", [2, 4, 64, 8192])
+def test_prefix_sums_as_a_tree(spark, monkeypatch, fan):
+    """Many files of few rows, and sparse row numbers: windows never hold more than ``fan`` sums."""
+    monkeypatch.setattr(ordering, "FAN", fan)
+    rows = [(f"f{i % 37:03d}", (i * 7919) % 10**9 - 10**8, i % 5) for i in range(200)]
+    df = spark.createDataFrame(rows, "file string, row bigint, w int").repartition(3)
+    got = {(r.file, r.row): r.start for r in with_start(df, F.col("w"), ["file", "row"], bucket_rows=4).collect()}
+    at = 0
+    for file, row, w in sorted(rows):
+        assert got[file, row] == at
+        at += w
+    assert len(got) == 200
+
+
+def test_a_hundred_thousand_files_of_one_row(spark):
+    n = 100_000
+    df = spark.range(n).select(F.format_string("part-%06d", F.col("id")).alias("file"), F.lit(0).cast("bigint").alias("row"), (F.col("id") % 3).alias("w"))
+    placed = with_start(df, F.col("w"), ["file", "row"])
+    wrong = placed.withColumn("i", F.substring("file", 6, 6).cast("bigint")).filter(
+        F.col("start") != F.call_function("div", F.col("i"), F.lit(3)) * 3 + F.when(F.col("i") % 3 == 2, 1).otherwise(0)
+    )
+    assert wrong.count() == 0 and placed.count() == n

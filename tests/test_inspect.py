@@ -192,3 +192,16 @@ def test_map_rows_sends_only_named_columns(spark):
     df = spark.createDataFrame([("a", 1)], "text string, n int")
     seen = udf.map_rows(df, lambda r: {"k": ",".join(sorted(r))}, "k string", ["n"]).collect()
     assert seen[0].asDict() == {"text": "a", "n": 1, "k": "n"}
+
+
+@pytest.mark.parametrize("size, k", [(32_000, 5), (3, 5), (64, 1), (0, 4)])
+def test_candidates_of_wide_logits_with_ties(spark, size, k):
+    rng = random.Random(size)
+    rows = [(i, [rng.choice([float(rng.randint(0, size // 8 + 1)), float("nan")] + [0.5] * (i % 2)) for _ in range(size)]) for i in range(6)]
+    df = spark.createDataFrame(rows, "i int, logits array<double>")
+    got = df.select("i", scores.candidates("logits", k).alias("low"), scores.candidates("logits", k, descending=True).alias("high")).collect()
+    for r in got:
+        x = rows[r.i][1]
+        place = [(math.isnan(v), v if v == v else 0.0, i) for i, v in enumerate(x)]
+        assert r.low == [p[2] for p in sorted(place)[:k]]
+        assert r.high == [p[2] for p in sorted((nan, -v, i) for nan, v, i in place)[:k]]

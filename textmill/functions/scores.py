@@ -46,12 +46,27 @@ def token_entropy(logits) -> Column:
 
 
 def candidates(logits, k: int = 5, descending: bool = False) -> Column:
-    """Ids of the ``k`` lowest scores in rising order, ties by id; ``descending`` gives the highest."""
+    """Ids of the ``k`` lowest scores in rising order, ties by id; ``descending`` gives the highest.
+
+    One pass over the scores with ``k`` slots: a score enters if it is lower than the worst slot, so work
+    is linear in the scores and nothing of their number is sorted. NaN ranks last, null first.
+    """
     x = _doubles(logits)
-    keyed = F.transform(
-        x, lambda v, i: F.struct((-v if descending else v).alias("score"), i.alias("id"))
-    )
-    return F.transform(F.slice(F.array_sort(keyed), 1, k), lambda s: s["id"])
+    if descending:
+        x = F.transform(x, lambda v: -v)
+    slot = "struct<score:double,id:int>"
+
+    def entered(acc: Column, v: Column) -> Column:
+        own = F.array(F.struct(v.alias("score"), acc["i"].alias("id")))
+        return F.slice(F.array_sort(F.concat(acc["slots"], own)), 1, k)
+
+    def step(acc: Column, v: Column) -> Column:
+        enters = (acc["i"] < k) | v.isNull() | (v < F.get(acc["slots"], F.lit(k - 1))["score"])
+        slots = F.when(enters, entered(acc, v)).otherwise(acc["slots"])
+        return F.struct((acc["i"] + 1).alias("i"), slots.alias("slots"))
+
+    start = F.struct(F.lit(0).alias("i"), F.array().cast(f"array<{slot}>").alias("slots"))
+    return F.aggregate(x, start, step, lambda acc: F.transform(acc["slots"], lambda s: s["id"]))
 
 
 def shade(value: Column, low: Column, high: Column) -> Column:

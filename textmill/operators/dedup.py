@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from textmill.operators.clean import MIN_CHARS, min_chars
 from textmill.storage import stage_table
@@ -22,10 +22,13 @@ def dedup_first(
     Digest and order key are aggregated with partial sums per task, so a text that makes up a third
     of the table costs one row per task. The order keys of all later copies are staged and counted;
     rows are anti-joined with them by the order key, which is unique. Where the copies are few, they
-    are broadcast and no text moves. ``exact=True`` groups by the value itself instead of its SHA-256.
+    are broadcast and no text moves. Digests and order keys are staged, so the texts are read twice: for
+    the digests, and for the result. ``exact=True`` groups by the value itself instead of its SHA-256.
     """
-    group = F.col(key) if exact else F.sha2(F.col(key), 256)
+    group = F.col(key) if exact else F.unhex(F.sha2(F.col(key), 256))
     narrow = df.select(group.alias("_group"), F.struct(*order).alias("_at"))
+    if not exact:
+        narrow = stage_table(narrow, "digests")
     # groups with one row have no copies; null values are a group of their own
     groups = narrow.groupBy("_group").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
     copied = groups.filter("_n > 1").select(
@@ -34,8 +37,9 @@ def dedup_first(
     salt = F.pmod(F.xxhash64("_at"), F.lit(SALTS)).cast("int")
     match = F.col("_group").eqNullSafe(F.col("_copied")) & (F.col("_salt") == F.col("_to"))
     later = narrow.withColumn("_salt", salt).join(copied, match).filter("_at <> _first").select("_at.*")
-    later = stage_table(later, "copies")
-    few = later.count() <= BROADCAST_ROWS
+    counted = Observation()
+    later = stage_table(later.observe(counted, F.count(F.lit(1)).alias("n")), "copies")
+    few = counted.get["n"] <= BROADCAST_ROWS
     return df.join(F.broadcast(later) if few else later, order, "left_anti")
 
 

@@ -2,17 +2,20 @@
 
 An order key is a list of columns ``[*lead, row]``. ``row`` is an integer that rises inside each
 combination of the lead columns (source, file, block); the whole key is unique and never null.
-Positions are found from sums per bucket of ``row``, so no task ever sees the whole table.
+Positions are found from sums per bucket of ``row``, and these from a tree of sums: however many
+files there are and however sparse the rows, no window holds more than ``FAN`` sums.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+
+from textmill.storage import stage_table
 
 BUCKET_ROWS = 128
-GROUP_BUCKETS = 8192
+#: Sums that one window may hold; a power of two.
+FAN = 8192
 BUCKET = "_bucket"
-GROUP = "_group"
 
 
 def floor_div(c: Column, size: int) -> Column:
@@ -33,33 +36,41 @@ def _before(partition: list[str], by: list[str]):
     )
 
 
+def running_sums(sums: DataFrame, by: list[str], load: str, name: str) -> DataFrame:
+    """Add ``name``: the sum of ``load`` over all rows before, in the order of the unique key ``by``.
+
+    Up to ``FAN`` rows are one window. Beyond that, rows are dealt to ranges of the key and sorted; a
+    node is ``FAN`` neighbours at most. The sums of the nodes are running sums of the same kind, one
+    level up, and inside a node a window adds what lies before.
+    """
+    counted = Observation()
+    staged = stage_table(sums.observe(counted, F.count(F.lit(1)).alias("n")), "sums")
+    n = counted.get["n"]
+    if n <= FAN:
+        return staged.withColumn(name, F.coalesce(F.sum(load).over(_before([], by)), F.lit(0)))
+    ordered = staged.repartitionByRange(max(n // (16 * FAN), 1), *by).sortWithinPartitions(*by)
+    # ids rise inside a task and from task to task, in the order of the ranges
+    node, above = f"{name}_node", f"{name}_above"
+    own = F.shiftright(F.monotonically_increasing_id(), FAN.bit_length() - 1)
+    placed = stage_table(ordered.withColumn(node, own), "placed")
+    nodes = placed.groupBy(node).agg(F.sum(load).cast("bigint").alias("_load"))
+    upper = running_sums(nodes, [node], "_load", above).drop("_load")
+    inside = F.coalesce(F.sum(load).over(_before([node], by)), F.lit(0))
+    return placed.join(upper, node).withColumn(name, F.col(above) + inside).drop(node, above)
+
+
+def _bucket_sums(df: DataFrame, weight: Column, order: list[str], bucket_rows: int) -> DataFrame:
+    """``[*lead, _bucket, load]``: weight inside each bucket."""
+    keys = [*order[:-1], bucket_of(order, bucket_rows).alias(BUCKET)]
+    return df.groupBy(*keys).agg(F.sum(weight).cast("bigint").alias("load"))
+
+
 def bucket_bases(
     df: DataFrame, weight: Column, order: list[str], bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
-    """``[*lead, _bucket, load, base]``: weight inside each bucket and before it.
-
-    Two levels: sums per bucket, then sums per 8,192 buckets. The only window without a partition
-    runs over the second level, which has about one row per file or per million rows.
-    """
-    lead = order[:-1]
-    buckets = (
-        df.groupBy(*lead, bucket_of(order, bucket_rows).alias(BUCKET))
-        .agg(F.sum(weight).cast("bigint").alias("load"))
-        .withColumn(GROUP, floor_div(F.col(BUCKET), GROUP_BUCKETS))
-    )
-    groups = (
-        buckets.groupBy(*lead, GROUP)
-        .agg(F.sum("load").alias("_group_load"))
-        .withColumn(
-            "_group_base",
-            F.coalesce(F.sum("_group_load").over(_before([], [*lead, GROUP])), F.lit(0)),
-        )
-        .drop("_group_load")
-    )
-    inside = F.coalesce(F.sum("load").over(_before([*lead, GROUP], [BUCKET])), F.lit(0))
-    return buckets.join(groups, [*lead, GROUP]).select(
-        *lead, BUCKET, "load", (F.col("_group_base") + inside).alias("base")
-    )
+    """``[*lead, _bucket, load, base]``: weight inside each bucket and before it."""
+    sums = _bucket_sums(df, weight, order, bucket_rows)
+    return running_sums(sums, [*order[:-1], BUCKET], "load", "base")
 
 
 def with_start(
@@ -71,7 +82,7 @@ def with_start(
 ) -> DataFrame:
     """Add the weight of all earlier rows as ``name``, plus ``_bucket``, ``base`` and ``load``.
 
-    The join and the window share the bucket as key, so rows move once.
+    ``df`` is read twice, for the sums and for the rows, so it should be a staged table. The join and the window share the bucket as key, so rows move once.
     """
     lead = order[:-1]
     keys = [*lead, BUCKET]
@@ -103,10 +114,13 @@ def first_rows(
     """
     lead = order[:-1]
     keys = [*lead, BUCKET]
-    bases = bucket_bases(df, F.lit(1), order, bucket_rows).filter(F.col("base") < n)
-    # every bucket holds at least one row, so at most n buckets begin before position n
     if n <= 100_000:
-        bases = F.broadcast(bases)
+        # every bucket holds at least one row, so at most n buckets begin before position n
+        first = _bucket_sums(df, F.lit(1), order, bucket_rows).orderBy(*keys).limit(n)
+        base = F.coalesce(F.sum("load").over(_before([], keys)), F.lit(0))
+        bases = F.broadcast(first.withColumn("base", base).filter(F.col("base") < n))
+    else:
+        bases = bucket_bases(df, F.lit(1), order, bucket_rows).filter(F.col("base") < n)
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(order[-1]))
     return (
         df.withColumn(BUCKET, bucket_of(order, bucket_rows))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textmill.operators.order import BUCKET, BUCKET_ROWS, with_start
+from textmill.storage import stage_table
 
 
 def _fragments(
@@ -37,10 +38,11 @@ def pack_plan(
 ) -> DataFrame:
     """The cut plan without tokens: ``[*order, chunk, row_from, chunk_from, n_tokens]``.
 
-    ``tokens`` is the token count per row (default: size of ``input_ids``).
+    ``tokens`` is the token count per row (default: size of ``input_ids``). Order keys and counts are
+    staged, so the input is read once.
     """
     size = F.size("input_ids") if tokens is None else tokens
-    rows = df.select(*order, size.cast("bigint").alias("_n")).filter("_n > 0")
+    rows = stage_table(df.select(*order, size.cast("bigint").alias("_n")).filter("_n > 0"), "sizes")
     placed = with_start(rows, F.col("_n"), order, bucket_rows=bucket_rows)
     return _fragments(placed, F.col("_n"), sequence_len, [*order, "start"]).select(
         *order,

@@ -6,7 +6,7 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from textmill.functions.text import text_or_null
 from textmill.operators.order import first_rows, spread
@@ -40,26 +40,26 @@ def _first_match(spark: SparkSession, *patterns: str) -> str | None:
     return None
 
 
-def _extension(name: str) -> str | None:
-    stem = re.sub(r"\.(gz|zst|bz2|snappy|lz4)$", "", name)
-    return EXTENSIONS.get(stem.rsplit(".", 1)[-1].lower()) if "." in stem else None
+def _format_in(name: Column) -> Column:
+    """The format a file name stands for: its last extension, compression left out; null if unknown."""
+    stem = F.regexp_replace(F.lower(name), r"\.(gz|zst|bz2|snappy|lz4)$", "")
+    known = F.create_map(*[F.lit(x) for pair in EXTENSIONS.items() for x in pair])
+    return known[F.regexp_extract(stem, r"\.([^./]+)$", 1)]
 
 
 def _format_of(spark: SparkSession, path: str) -> str:
     """The one format of all files below ``path``; hidden files do not count.
 
-    Spark lists the files and only distinct endings come back, however many files there are.
+    Spark lists the files and only distinct formats come back, however many files there are.
     """
-    ending = F.regexp_extract(F.col("path"), r"([^/]*)$", 1)
-    ending = F.regexp_extract(ending, r"((?:\.[A-Za-z0-9]+)?\.[A-Za-z0-9]+)$", 1)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    endings = [r[0] for r in files.select(ending).distinct().limit(100).collect()]
-    found = {_extension(e) for e in endings}
-    if not endings:
-        return _extension(path.rstrip("/")) or "parquet"
-    if None in found or len(found) > 1:
-        raise ValueError(f"{path} has files of mixed or unknown formats ({sorted(endings)}); give format=")
-    return found.pop()
+    formats = files.groupBy(_format_in(F.col("path")).alias("format")).agg(F.min("path").alias("path")).collect()
+    if not formats:
+        return spark.range(1).select(_format_in(F.lit(path.rstrip("/")))).first()[0] or "parquet"
+    if len(formats) > 1 or formats[0].format is None:
+        example = {r.format: r.path for r in formats}
+        raise ValueError(f"{path} has files of mixed or unknown formats ({example}); give format=")
+    return formats[0].format
 
 
 def _other_split(spark: SparkSession, root: str) -> str | None:
