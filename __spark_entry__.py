@@ -111,6 +111,12 @@ def _joined(ids: Column) -> Column:
     return F.array_join(ids.cast("array<string>"), ",")
 
 
+def _ordered_md5(place: str, text: str) -> Column:
+    """MD5 of the texts of a group in order; a group is part of one packed row."""
+    ordered = F.sort_array(F.collect_list(F.struct(place, text)))
+    return F.md5(F.array_join(ordered[text], "|")).alias("text_md5")
+
+
 def _chunk_hash(packed: DataFrame) -> DataFrame:
     return packed.select("chunk", F.md5(token_hex("input_ids")).alias("ids_md5"))
 
@@ -396,7 +402,8 @@ def head_samples(spark, sf):
 def explode_tokens(spark, sf):
     tokens = ins.explode_tokens(_packed(spark, sf), byte_vocabulary(spark))
     return tokens.groupBy("chunk", "class").agg(
-        F.count(F.lit(1)).alias("n_tokens"), F.sum("pos").alias("pos_sum"), F.sum("id").alias("id_sum")
+        F.count(F.lit(1)).alias("n_tokens"), F.sum("pos").alias("pos_sum"), F.sum("id").alias("id_sum"),
+        _ordered_md5("pos", "text"),
     )
 
 
@@ -407,19 +414,20 @@ def token_segments(spark, sf):
         F.sum("pos").alias("pos_sum"),
         F.sum("segment").alias("segment_sum"),
         F.sum(F.size("ids")).alias("n_tokens"),
+        _ordered_md5("segment", "text"),
     )
 
 
 def render_samples(spark, sf):
     lines = ins.render_samples(_packed(spark, sf), byte_vocabulary(spark))
-    return lines.select("chunk", F.regexp_count("line", F.lit(r"\(\d+(?:,\d+)*\)")).alias("n_items"))
+    return lines.select("chunk", F.md5("line").alias("line_md5"))
 
 
 def inspect_packed(spark, sf):
     path = stage_path(spark, "prepared")
     _packed(spark, sf).write.parquet(path)
     _, samples = jobs.inspect_packed(spark, path, byte_vocabulary(spark))
-    return samples.select("chunk", F.substring("line", 1, 16).alias("header"))
+    return samples.select("chunk", F.md5("line").alias("line_md5"))
 
 
 # ---- scores -------------------------------------------------------------------------------------
@@ -470,11 +478,17 @@ def uncertainty_report(spark, sf):
     named = _logits(spark, sf).withColumn("text", F.concat(F.lit("tok "), F.col("target").cast("string")))
     spans = named.withColumn("start", F.lit(0)).withColumn("end", F.char_length("text"))
     report = jobs.inspect_predictions(spans)
+
+    def rounded(c: str) -> Column:
+        return F.array_join(F.transform(c, lambda x: F.round(x, 5).cast("decimal(12,5)").cast("string")), ",").alias(c)
+
     return report.select(
         "seq_id",
         "part",
         F.array_join("tokens", "|").alias("tokens"),
-        F.array_join(F.transform("losses", lambda x: F.round(x, 5).cast("decimal(12,5)").cast("string")), ",").alias("losses"),
+        rounded("losses"),
+        rounded("entropies"),
+        F.md5("entropy_line").alias("entropy_line_md5"),
         F.md5(F.array_join("token_info", "|")).alias("info_md5"),
         "loss_line",
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from textmill.functions.text import WHITESPACE
-from textmill.operators.bpe import ADDED_TOKENS, ALPHABET
+from textmill.operators.bpe import ADDED_TOKENS, ALPHABET, BOUNDARY
 
 SEQUENCE_LEN = 1024
 MIN_LENGTH = 150
@@ -127,7 +127,7 @@ ranges AS (
          min(entropy) OVER w AS el, max(entropy) OVER w AS eh
   FROM scored WINDOW w AS (PARTITION BY seq_id)),
 shades AS (
-  SELECT seq_id, pos, target, loss, x,
+  SELECT seq_id, pos, target, loss, entropy, x,
          floor((1 - (entropy - el) / CASE WHEN eh > el THEN eh - el ELSE 1 END) * 255)::INT AS entropy_shade,
          floor((1 - (loss - ll) / CASE WHEN lh > ll THEN lh - ll ELSE 1 END) * 255)::INT AS loss_shade
   FROM ranges)"""
@@ -145,6 +145,9 @@ BYTE_TOKENS = f"""{PACKED_IDS},
 exploded AS (SELECT chunk, unnest(ids) AS id, generate_subscripts(ids, 1) - 1 AS pos FROM ids),
 classed AS (SELECT *, {BYTE_CLASS} AS class FROM exploded)"""
 
+# A chunk may begin inside a character and end inside one: bytes in hex, cut, whole and open ones.
+UTF8 = "^((?:[89AB].)*)((?:[0-7].|[CD].[89AB].|E.(?:[89AB].){2}|F.(?:[89AB].){3})*)(.*)$"
+
 SEGMENTS = f"""{BYTE_TOKENS},
 opened AS (
   SELECT *, (class <> 'non_word'
@@ -153,8 +156,18 @@ opened AS (
 numbered AS (
   SELECT *, (sum(opens) OVER (PARTITION BY chunk ORDER BY pos) - 1)::BIGINT AS segment FROM opened),
 segments AS (
-  SELECT chunk, segment, any_value(class) AS class, min(pos) AS pos, count(*) AS n
-  FROM numbered GROUP BY chunk, segment)"""
+  SELECT chunk, segment, any_value(class) AS class, min(pos) AS pos, count(*) AS n,
+         string_agg(id, ',' ORDER BY pos) AS ids,
+         regexp_extract(coalesce(string_agg(printf('%02X', id), '' ORDER BY pos) FILTER (id < 256), ''),
+                        '{UTF8}', ['cut', 'whole', 'open']) AS hx
+  FROM numbered GROUP BY chunk, segment),
+spelled AS (
+  SELECT *, CASE class WHEN 'special' THEN '{BOUNDARY}' ELSE
+    repeat(chr(65533), (length(hx.cut) // 2)::INT) || decode(unhex(hx.whole)) || CASE hx.open WHEN '' THEN '' ELSE chr(65533) END
+  END AS text FROM segments),
+lines AS (
+  SELECT chunk, md5('[PACKED SAMPLE ' || chunk || '] ' || string_agg(text || '(' || ids || ')', ' ' ORDER BY segment)) AS line_md5
+  FROM spelled GROUP BY chunk)"""
 
 UNION = """
 corpus AS (
@@ -322,15 +335,17 @@ SELECT doc_id, length(s)::INT AS n_tokens,
     "roundtrip": "SELECT count(*) AS n_rows, count(*) FILTER (text IS NULL) AS mismatches FROM documents",
     "head_samples": f"WITH {PACKED} SELECT chunk, md5(hx) AS ids_md5 FROM packed ORDER BY chunk LIMIT 5",
     "explode_tokens": f"""WITH {BYTE_TOKENS}
-SELECT chunk, class, count(*) AS n_tokens, sum(pos)::BIGINT AS pos_sum, sum(id)::BIGINT AS id_sum
+SELECT chunk, class, count(*) AS n_tokens, sum(pos)::BIGINT AS pos_sum, sum(id)::BIGINT AS id_sum,
+  md5(string_agg(CASE WHEN id = 256 THEN '{BOUNDARY}' WHEN id < 128 THEN chr(id::INT) ELSE chr(65533) END, '|' ORDER BY pos)) AS text_md5
 FROM classed GROUP BY chunk, class""",
     "token_segments": f"""WITH {SEGMENTS}
 SELECT chunk, class, count(*) AS n_segments, sum(pos)::BIGINT AS pos_sum,
-  sum(segment)::BIGINT AS segment_sum, sum(n)::BIGINT AS n_tokens FROM segments GROUP BY chunk, class""",
+  sum(segment)::BIGINT AS segment_sum, sum(n)::BIGINT AS n_tokens,
+  md5(string_agg(text, '|' ORDER BY segment)) AS text_md5 FROM spelled GROUP BY chunk, class""",
     "render_samples": f"""WITH {SEGMENTS}
-SELECT chunk, count(*)::INT AS n_items FROM segments GROUP BY chunk""",
-    "inspect_packed": f"""WITH {PACKED}
-SELECT chunk, '[PACKED SAMPLE ' || chunk AS header FROM packed ORDER BY chunk LIMIT 5""",
+SELECT chunk, line_md5 FROM lines""",
+    "inspect_packed": f"""WITH {SEGMENTS}
+SELECT chunk, line_md5 FROM lines ORDER BY chunk LIMIT 5""",
     "token_loss": """WITH """ + LOGITS + """
 SELECT seq_id, pos, round(loss, 6) AS loss, round(top + ln(list_sum(e)) + loss, 6) AS cross_entropy FROM scored""",
     "token_entropy": f"WITH {LOGITS} SELECT seq_id, pos, round(entropy, 6) AS entropy FROM scored",
@@ -350,6 +365,8 @@ told AS (
 SELECT seq_id, 0::BIGINT AS part, string_agg(token, '|' ORDER BY pos) AS tokens,
   string_agg(round(loss, 5)::DECIMAL(12, 5)::VARCHAR, ',' ORDER BY pos) AS losses,
   md5(string_agg(info, '|' ORDER BY pos)) AS info_md5,
+  string_agg(round(entropy, 5)::DECIMAL(12, 5)::VARCHAR, ',' ORDER BY pos) AS entropies,
+  md5(string_agg(token || '[' || entropy_shade || ']', '' ORDER BY pos)) AS entropy_line_md5,
   string_agg(token || '[' || loss_shade || ']', '' ORDER BY pos) AS loss_line FROM told GROUP BY seq_id""",
     "map_rows": """SELECT doc_id, upper(lang) AS lang, len(string_split(text, ' '))::INT AS n_words FROM documents""",
     "map_batches": """SELECT l_linenumber, count(*) AS n_rows,
