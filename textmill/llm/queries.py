@@ -155,23 +155,27 @@ def op13_conversation_repair(spark, sf):
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-_NEAR_SQL = rf"""
+def _linked_sql(width: int, similar: int, columns: str) -> str:
+    """Components of documents whose sets of word shingles are similar, by counting common shingles."""
+    shingle = " || ' ' || ".join(f"ws[i + {k}]" for k in range(width))
+    return rf"""
 WITH RECURSIVE worded AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x20\x09-\x0D]+') AS ws
   FROM documents),
 sets AS (
-  SELECT doc_id, list_distinct(CASE WHEN len(ws) < 2 THEN ws ELSE [ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))] END) AS s
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN ws WHEN len(ws) < {width} THEN [array_to_string(ws, ' ')]
+    ELSE [{shingle} FOR i IN range(1, len(ws) - {width} + 2)] END) AS s
   FROM worded),
 sizes AS (SELECT doc_id, len(s)::BIGINT AS n FROM sets),
 members AS (SELECT doc_id, unnest(s) AS x FROM sets),
 common AS (
   SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c FROM members p JOIN members q ON p.x = q.x AND p.doc_id < q.doc_id GROUP BY ALL),
 links AS (
-  SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+  SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= {similar} * (p.n + q.n - c)),
 ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reached AS (
   SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, w.b FROM reached r JOIN ways w ON w.a = r.b)
-SELECT doc_id, n AS n_shingles, min(b) AS component_id, doc_id = min(b) AS kept
+SELECT doc_id, n AS n_shingles, {columns}
 FROM sizes JOIN reached ON a = doc_id GROUP BY doc_id, n"""
 
 
@@ -190,5 +194,8 @@ def queries():
 def oracle_sql():
     import corpus_pipeline
 
-    own = {"op1_secret_scan": _secret_sql(), "op3_near_duplicates": _NEAR_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    own = {
+        "op1_secret_scan": _secret_sql(), "op3_near_duplicates": _linked_sql(2, 80, "min(b) AS component_id, doc_id = min(b) AS kept"),
+        "op11_jaccard_join": _linked_sql(3, 90, "min(b) AS component_id"), "pipeline": corpus_pipeline.ORACLE_SQL,
+    }
     return {name: sql for name, sql in own.items() if sql}
