@@ -11,7 +11,7 @@ from collections import defaultdict
 from functools import reduce
 from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textmill.functions.text import byte_text, coalesce_text, nfkc, pre_split
 from textmill.operators.order import spread
@@ -375,6 +375,10 @@ def _listed(index: DataFrame, pairs: list[str]) -> DataFrame:
     return index.filter(some).filter(F.col("pair") == first).select("symbols", "freq")
 
 
+#: A pair that no word holds; counts the words read.
+_READ = "\x01\x02"
+
+
 def _top_pairs(words: DataFrame, order: MergeOrder):
     """The first pairs in the ranking by (count, ids) that are short enough."""
     symbols = words.sparkSession.createDataFrame(
@@ -406,14 +410,13 @@ def _changes(words: DataFrame, batch: list[tuple[str, str]], order: MergeOrder):
 
     Only pairs with a symbol of the batch can change, so the others are dropped before counting.
     """
-    seen = Observation()
-    words = words.observe(seen, F.count(F.lit(1)).alias("words"))
     pairs_merged = _literal_list([pair for pair, _ in batch])
-    changed = words.filter(F.exists(pairs_merged, lambda p: F.contains("symbols", p)))
+    changed = F.exists(pairs_merged, lambda p: F.contains("symbols", p))
     old = F.struct(F.split("symbols", "").alias("chars"), (-F.col("freq")).alias("delta"))
     merged = F.split(_replace_all(F.col("symbols"), batch), "")
     new = F.struct(merged.alias("chars"), F.col("freq").alias("delta"))
-    sides = changed.select(F.explode(F.array(old, new)).alias("side"))
+    read = F.struct(F.split(F.lit(_READ), "").alias("chars"), F.lit(1).cast("bigint").alias("delta"))
+    sides = words.select(F.explode(F.when(changed, F.array(old, new, read)).otherwise(F.array(read))).alias("side"))
     pairs = sides.select(
         _exploded(_pairs(F.col("side.chars")), "pair"), F.col("side.delta").alias("delta")
     )
@@ -424,16 +427,16 @@ def _changes(words: DataFrame, batch: list[tuple[str, str]], order: MergeOrder):
     if touched:
         kept = kept | F.array_contains(_literal_list(touched), F.col("pair"))
     rows = (
-        pairs.filter(F.translate("pair", involved, "") != F.col("pair"))
+        pairs.filter((F.translate("pair", involved, "") != F.col("pair")) | (F.col("pair") == _READ))
         .groupBy("pair")
         .agg(F.sum("delta").alias("delta"))
-        .filter((F.col("delta") != 0) & kept)
+        .filter((F.col("delta") != 0) & (kept | (F.col("pair") == _READ)))
         .withColumn("fresh", fresh)
         .orderBy("fresh", F.desc("delta"))
-        .limit(len(touched) + order.candidates)
+        .limit(1 + len(touched) + order.candidates)
         .collect()
     )
-    return rows, seen.get["words"]
+    return [r for r in rows if r.pair != _READ], sum(r.delta for r in rows if r.pair == _READ)
 
 
 def train_merges(

@@ -8,7 +8,7 @@ files there are and however sparse the rows, no window holds more than ``FAN`` s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textmill.storage import stage_table
 
@@ -43,9 +43,8 @@ def running_sums(sums: DataFrame, by: list[str], load: str, name: str) -> DataFr
     node is ``FAN`` neighbours at most. The sums of the nodes are running sums of the same kind, one
     level up, and inside a node a window adds what lies before.
     """
-    counted = Observation()
-    staged = stage_table(sums.observe(counted, F.count(F.lit(1)).alias("n")), "sums")
-    n = counted.get["n"]
+    staged = stage_table(sums, "sums")
+    n = staged.count()
     if n <= FAN:
         return staged.withColumn(name, F.coalesce(F.sum(load).over(_before([], by)), F.lit(0)))
     ordered = staged.repartitionByRange(max(n // (16 * FAN), 1), *by).sortWithinPartitions(*by)
