@@ -136,6 +136,18 @@ def test_batches_steps_and_flattening(spark):
     assert {(r.batch, r.slot, r.chunk) for r in steps if r.epoch == 0} != {(r.batch, r.slot, r.chunk) for r in steps if r.epoch == 1}
 
 
+def test_batches_sort_no_token_arrays(spark):
+    rows = table(spark, [3, 1, 2]).withColumnRenamed("row", "chunk")
+    for df in (batches.micro_batches(rows, 2), batches.assign_steps(rows, 1, epochs=2)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+        # the branch of the rows has nothing but its exchange and the scan
+        wide = [line for line in plan.splitlines() if "Window" in line or "Sort [" in line]
+        assert wide and not any("input_ids" in line for line in wide)
+    got = {(r.epoch, r.batch, r.slot): (r.chunk, r.input_ids) for r in batches.assign_steps(rows, 1, epochs=2).collect()}
+    assert len(got) == 6 and sorted(got.values()) == sorted([(r.chunk, r.input_ids) for r in rows.collect()] * 2)
+
+
 def test_a_very_long_row_is_cut_without_repeating_it(spark):
     n, length = 2_000_000, 1000
     rows = spark.range(1).select(F.lit(0).cast("bigint").alias("row"), F.sequence(F.lit(1), F.lit(n)).alias("input_ids"))

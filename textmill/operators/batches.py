@@ -1,7 +1,9 @@
 """Shuffled split, micro-batches and steps over a packed table.
 
 The shuffle order is the MD5 of seed and row number, so it is the same on every run and for every
-partitioning. Rows are ranked inside hash buckets; bucket counts give the rank before each bucket.
+partitioning. Row numbers alone are ranked, inside hash buckets; bucket counts give the rank before
+each bucket. The ranks are joined to the rows by row number, which is unique and never null: token
+arrays move once and are never sorted.
 """
 
 from __future__ import annotations
@@ -83,7 +85,8 @@ BROADCAST_ROWS = 1 << 20
 
 
 def _ranked(keyed: DataFrame, within: list[str], row: str, groups: int = 1) -> DataFrame:
-    """Add ``_rank`` (0-based shuffle position) and ``total``; ``groups``: values of ``within``."""
+    """Add ``_rank`` (0-based shuffle position) and ``total`` to the narrow ``[*within, _key, row]``;
+    ``groups``: values of ``within``."""
     keys = [*within, "_bucket"]
     bases = _bases(keyed.select(*within, "_key"), within).drop("load")
     place = F.row_number().over(Window.partitionBy(*keys).orderBy("_key", row))
@@ -106,8 +109,9 @@ def _batched(ranked: DataFrame, batch_rows: int) -> DataFrame:
 
 def micro_batches(df: DataFrame, batch_rows: int = 1, seed: int = 0, row: str = "chunk") -> DataFrame:
     """Add ``batch`` and ``slot`` in shuffle order; the incomplete last batch is dropped."""
-    keyed = df.withColumn("_key", shuffle_key(seed, F.col(row)))
-    return _batched(_ranked(keyed, [], row), batch_rows).select(*df.columns, "batch", "slot")
+    keyed = df.select(row, shuffle_key(seed, F.col(row)).alias("_key"))
+    placed = _batched(_ranked(keyed, [], row), batch_rows).select(row, "batch", "slot")
+    return df.join(placed.hint("shuffle_hash"), row).select(*df.columns, "batch", "slot")
 
 
 def assign_steps(
@@ -122,19 +126,20 @@ def assign_steps(
 
     ``accum`` batches make one step; a step never spans two epochs. Steps are numbered through.
     """
-    per_epoch = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     key = F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("epoch"), F.col(row)))
+    per_epoch = df.select(row, F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
     batched = _batched(_ranked(per_epoch.withColumn("_key", key), ["epoch"], row, epochs), batch_rows)
     size = F.lit(accum).cast("bigint")
     steps = F.call_function("div", F.col("_batches") + size - 1, size)
-    return batched.select(
-        *df.columns,
+    placed = batched.select(
+        row,
         "epoch",
         (F.col("epoch") * steps + F.call_function("div", F.col("batch"), size)).alias("step"),
         (F.col("batch") % size).cast("int").alias("micro"),
         "batch",
         "slot",
     )
+    return df.join(placed.hint("shuffle_hash"), row).select(*df.columns, *placed.columns[1:])
 
 
 def flatten_batches(df: DataFrame) -> DataFrame:
