@@ -75,3 +75,24 @@ def test_token_class_looks_at_the_first_character(spark):
     got = values(spark, rows, tx.token_class(F.col("t"), F.lit(False)))
     assert got == ["word", "non_word", "non_word", "word", "word", "non_word", "non_word", "word"]
     assert values(spark, ["x"], tx.token_class(F.col("t"), F.lit(True))) == ["special"]
+
+
+def test_quick_check_for_nfkc(spark):
+    """Random neighbours from all code points, from the runs, and from those that compose."""
+    import random
+    import unicodedata
+
+    from textmill.functions.text import may_change, nfkc, stable_runs
+
+    rng = random.Random(4)
+    every = [chr(p) for p in range(0x110000) if not 0xD800 <= p <= 0xDFFF]
+    stable = [chr(p) for a, b in stable_runs() for p in range(a, b + 1)]
+    composing = [c for c in every if unicodedata.combining(c) or unicodedata.decomposition(c)] + [chr(p) for p in range(0x1100, 0x1200)]
+    rows = [("".join(rng.choices(pool, k=rng.randint(1, 4))),) for pool in (every, stable, composing, stable + composing) for _ in range(4000)]
+    rows += [("".join(every[i : i + 3]),) for i in range(0, len(every), 3)]
+    table = spark.createDataFrame(rows, "text string").repartition(4)
+    got = table.select("text", nfkc("text").alias("form"), may_change(F.col("text")).alias("asked")).collect()
+    assert all(r.form == unicodedata.normalize("NFKC", r.text) for r in got)
+    assert sum(not r.asked for r in got) > len(got) / 2
+    korean = spark.createDataFrame([("caf\u00e9 \uc548\ub155 \u4f60\u597d \u043f\u0440\u0438\u0432\u0435\u0442",)], "text string")
+    assert not korean.select(may_change(F.col("text"))).first()[0]

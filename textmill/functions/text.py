@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -72,11 +74,46 @@ def _nfkc_batch(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
 
 
+#: Shortest run of stable code points that the quick check names; shorter ones cost more than they spare.
+STABLE_RUN = 48
+
+
+@cache
+def stable_runs() -> list[tuple[int, int]]:
+    """Runs of code points that no neighbour can change: any text of them is its own NFKC form.
+
+    Such a character is its own form, has no combining class and is never the second of two that
+    compose: it does not stand second in a canonical decomposition and is no Hangul vowel or final.
+    """
+    points = [p for p in range(sys.maxunicode + 1) if not 0xD800 <= p <= 0xDFFF]
+    seconds = set(range(0x1161, 0x1176)) | set(range(0x11A8, 0x11C3))
+    for p in points:
+        parts = unicodedata.decomposition(chr(p)).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            seconds.add(int(parts[1], 16))
+    runs: list[tuple[int, int]] = []
+    for p in points:
+        c = chr(p)
+        if p in seconds or unicodedata.combining(c) or not unicodedata.is_normalized("NFKC", c):
+            continue
+        if runs and runs[-1][1] == p - 1:
+            runs[-1] = runs[-1][0], p
+        else:
+            runs.append((p, p))
+    return [(a, b) for a, b in runs if b - a >= STABLE_RUN - 1]
+
+
+def may_change(c: Column) -> Column:
+    """Whether a text holds a character outside the stable runs."""
+    outside = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in stable_runs())
+    return c.rlike(f"[^{outside}]")
+
+
 def nfkc(c) -> Column:
-    """Unicode NFKC. ASCII text is its own NFKC form, so only other rows carry text to Python."""
+    """Unicode NFKC. Only rows with a character that may change carry text to Python."""
     c = c if isinstance(c, Column) else F.col(c)
     normalise = F.pandas_udf(_nfkc_batch, "string")
-    return F.coalesce(normalise(F.when(~is_ascii(c), c)), c)
+    return F.coalesce(normalise(F.when(~is_ascii(c) & may_change(c), c)), c)
 
 
 def pre_split(c) -> Column:
