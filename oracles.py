@@ -216,10 +216,24 @@ def stage_metrics() -> str:
         ("audit", "wrong_rows"): "SELECT count(*) FROM chunks WHERE n > " + str(L),
         ("audit", "first_wrong"): "SELECT NULL",
         ("audit", "last_wrong"): "SELECT NULL",
+        ("audit", "all_correct"): f"SELECT (count(*) = 0)::INT FROM chunks WHERE n > {L}",
+    }
+    decimals = {
+        ("combined", "n_rows_m"): "SELECT round(count(*) / 1e6, 2) FROM documents",
+        ("cleaned", "n_rows_m"): "SELECT round(count(*) / 1e6, 2) FROM documents",
+        ("final", "n_rows_m"): "SELECT round(count(*) / 1e6, 4) FROM prepared",
+        ("packed", "tokens_b"): f"SELECT round(count(*) * {L} / 1e9, 3) FROM packed",
     }
     rows = " UNION ALL ".join(
-        f"SELECT '{stage}' AS stage, '{metric}' AS metric, ({sql})::BIGINT AS value"
-        for (stage, metric), sql in parts.items()
+        [
+            f"SELECT '{stage}' AS stage, '{metric}' AS metric, v AS value, v::DOUBLE AS number "
+            f"FROM (SELECT ({sql})::BIGINT AS v)"
+            for (stage, metric), sql in parts.items()
+        ]
+        + [
+            f"SELECT '{stage}', '{metric}', NULL::BIGINT, ({sql})::DOUBLE"
+            for (stage, metric), sql in decimals.items()
+        ]
     )
     return f"WITH {PACKED}, {FILTER_STATS} {rows}"
 

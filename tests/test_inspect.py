@@ -77,7 +77,11 @@ def test_preprocess_and_inspect_jobs(spark, tmp_path):
     assert values[("filter", "tokens_after")] == kept
     assert values[("tail", "tail_tokens")] == kept % 64
     assert values[("packed", "packed_rows")] == kept // 64 == table.count()
-    assert values[("audit", "wrong_rows")] == 0
+    assert values[("audit", "wrong_rows")] == 0 and values[("audit", "all_correct")] == 1
+    numbers = {(r.stage, r.metric): r.number for r in report.collect()}
+    assert numbers[("final", "n_rows")] == 8 and numbers[("audit", "all_correct")] == 1.0
+    assert numbers[("combined", "n_rows_m")] == 0.0 and values[("combined", "n_rows_m")] is None
+    assert set(numbers) >= {("cleaned", "n_rows_m"), ("final", "n_rows_m"), ("packed", "tokens_b")}
     assert {len(r.attention_mask) for r in table.collect()} == {64}
     counts, samples = jobs.inspect_packed(spark, f"{tmp_path}/out", byte_vocabulary(spark))
     assert counts.first().packed_rows == kept // 64

@@ -79,19 +79,25 @@ def length_audit(packed: DataFrame, sequence_len: int) -> DataFrame:
 
 
 def stage_report(stages: list[tuple[str, DataFrame]]) -> DataFrame:
-    """One row per number: ``stage, metric, value`` from one-row statistics frames."""
+    """One row per number: ``stage, metric, value, number`` from one-row statistics frames.
+
+    ``value`` holds integers, and flags as 0 or 1; ``number`` also what has decimals (millions and
+    billions), where ``value`` is null.
+    """
 
     def long_form(stage: str, stats: DataFrame) -> DataFrame:
-        numbers = [f.name for f in stats.schema if f.dataType.simpleString() in ("bigint", "int")]
-        pairs = F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value"))
-                    for c in numbers
-                ]
+        kinds = {f.name: f.dataType.simpleString() for f in stats.schema}
+
+        def pair(name: str) -> Column:
+            whole = F.lit(None) if kinds[name] == "double" else F.col(name)
+            number = F.col(name).cast("int" if kinds[name] == "boolean" else kinds[name]).cast("double")
+            return F.struct(
+                F.lit(name).alias("metric"), whole.cast("bigint").alias("value"), number.alias("number")
             )
-        )
-        return stats.select(pairs.alias("m")).select(F.lit(stage).alias("stage"), "m.metric", "m.value")
+
+        numbers = [n for n, kind in kinds.items() if kind in ("bigint", "int", "double", "boolean")]
+        pairs = stats.select(F.explode(F.array(*map(pair, numbers))).alias("m"))
+        return pairs.select(F.lit(stage).alias("stage"), "m.*")
 
     return reduce(DataFrame.unionByName, [long_form(s, d) for s, d in stages])
 

@@ -104,7 +104,8 @@ def preprocess(
 ) -> tuple[DataFrame, DataFrame]:
     """Sources to packed table at ``prepared_path``; returns the table and the stage report.
 
-    The staged tokens are removed once the report has read them.
+    The staged tokens are removed once the report has read them. ``inspect_packed`` renders samples
+    of the table.
     """
     tokens_path = stage_path(spark, "tokens")
     raw = read_corpus(spark, sources)
@@ -132,7 +133,7 @@ def preprocess_report(
     min_length: int,
     cleaned: DataFrame | None = None,
 ) -> DataFrame:
-    """``stage, metric, value``. The default cleaning keeps every row and needs no count of its
+    """``stage, metric, value, number``. The default cleaning keeps every row and needs no count of its
     own; ``cleaned`` is what another cleaner returned."""
     combined = stats.stage_rows(raw, "combined")
     n = F.col("n_tokens")
