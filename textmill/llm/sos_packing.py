@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
-from textmill.llm.public_bpe import DROP_SPACE, PieceEncoder
+from textmill.llm.public_bpe import DROP_SPACE, worker_encoder
 
 #: Tokens in open windows of one task; more are closed. A bound of memory.
 OPEN_TOKENS = 8_000_000
@@ -101,7 +101,7 @@ def pack(
     schema = StructType([StructField("doc_id", id_field.dataType)] + [StructField(n, LongType()) for n in names])
 
     def run(batches):
-        encoder = PieceEncoder(tokenizer, DROP_SPACE)
+        encoder = worker_encoder(tokenizer, DROP_SPACE)
         first = TaskContext.get().partitionId() << 36
         done: list[tuple] = []
         owners: dict[int, tuple] = {}  # row -> (doc_id, tokens)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from textmill.llm.public_bpe import KEEP_SPACE, PieceEncoder
+from textmill.llm.public_bpe import KEEP_SPACE, worker_encoder
 from textmill.llm.range_coder import decode_file, encode_file
 
 #: Ids after which a file ends with the document at hand.
@@ -32,7 +32,7 @@ def write(documents: DataFrame, path: str, tokenizer: str, end_id: int, doc_id:
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
 
     def run(batches):
-        encoder, part, number = PieceEncoder(tokenizer, KEEP_SPACE), TaskContext.get().partitionId(), 0
+        encoder, part, number = worker_encoder(tokenizer, KEEP_SPACE), TaskContext.get().partitionId(), 0
         names, ids, held = [], [], 0
 
         def file():
