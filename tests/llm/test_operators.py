@@ -386,7 +386,7 @@ def lines_without_copies(rows):
             if line.strip():
                 first.setdefault(line.strip(), (doc_id is not None, doc_id or 0, i))
     texts = list(first)
-    sets = [frozenset(t[i : i + 8] for i in range(len(t) - 7)) if len(t) >= 24 else frozenset() for t in texts]
+    sets = [frozenset(t[i : i + 8] for i in range(len(t) - 7)) for t in texts]
     root = {t: t for t in texts}
 
     def find(x):

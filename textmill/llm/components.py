@@ -51,29 +51,34 @@ def _contracted(edges: DataFrame) -> DataFrame:
     return edges.mapInArrow(run, edges.schema)
 
 
+def _least(edges: DataFrame, least) -> DataFrame:
+    return stage_table(edges.groupBy("u").agg(least.alias("m")), "components_least")
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """``node, root`` for every node of ``edges`` (two columns of one orderable type, never null):
     the root is the smallest node reachable.
 
     Each round links nodes to the smallest neighbour they see; the number of edges never grows and
     the depth falls at least by half. A round is written to the shared folder, so a lost executor
-    costs one round. The minimum per node is aggregated with partial sums; in the joins back a node
-    with very many neighbours is split by adaptive execution (the other side has one row).
+    costs one round. The minimum per node is aggregated with partial sums and staged, so in the joins
+    back adaptive execution splits a node with very many neighbours (the other side has one row). What is
+    left when fewer than ``LOCAL_EDGES`` edges remain is joined by one task.
     """
     pair = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     current = stage_table(_contracted(stage_table(pair, "components")).distinct(), "components")
-    before = _state(current)
-    while before[0]:
+    before, stars = _state(current), False
+    while before[0] >= LOCAL_EDGES and not stars:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = _least(both, F.least(F.min("v"), F.col("u")))
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = stage_table(large.distinct(), "components")
+        least = _least(large, F.min("v"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        small = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        current = stage_table(small, "components")
+        current = stage_table(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "components")
         after = _state(current)
-        if after == before:
-            break
-        before = after
+        before, stars = after, after == before
+    if before[0] and not stars:
+        current = stage_table(_contracted(current.coalesce(1)), "components")
     roots = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

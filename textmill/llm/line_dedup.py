@@ -52,8 +52,8 @@ def _windows(points: np.ndarray) -> np.ndarray:
 
 
 def shingle_set(line: str) -> np.ndarray:
-    points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.unique(_windows(points)) if len(points) >= SHINGLE else np.array([hash(line)], np.int64).astype(np.uint64)
+    """The shingles of a line of ``SHINGLE`` or more characters; shorter ones have no signature."""
+    return np.unique(_windows(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)))
 
 
 def sketches(lines: list[str]) -> np.ndarray:
@@ -140,7 +140,8 @@ def _bands(nodes: DataFrame) -> DataFrame:
 
 def _regions(nodes: DataFrame) -> DataFrame:
     dense = _bands(nodes)
-    sizes = dense.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    # staged, so adaptive execution can split a band with very many lines in the join back
+    sizes = stage_table(dense.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "band_sizes")
     wide = nodes.select("node", F.lit(1).cast("bigint").alias("n"), "sketch")
     joined = dense.join(sizes, "key").join(wide, "node")
     tree = F.pmod("key", F.lit(256)).cast("int").alias("tree")
@@ -186,7 +187,7 @@ def copied_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
         _regions(nodes), lambda ends: _texts(ends, nodes, documents, doc_id, text), shingle_set, similar, ROWS, LEAST
     )
     fuzzy = nodes.join(roots, "node").select("digest", "root", "first")
-    keepers = fuzzy.groupBy("root").agg(F.min("first").alias("keeper"))
+    keepers = stage_table(fuzzy.groupBy("root").agg(F.min("first").alias("keeper")), "keepers")
     fuzzy = fuzzy.join(keepers, "root").select("digest", "keeper")
     # equal lines without a fuzzy partner: the first one stays
     alone = nodes.filter(~F.col("first").eqNullSafe(F.col("last"))).join(roots, "node", "left_anti")

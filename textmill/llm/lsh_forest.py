@@ -109,7 +109,8 @@ def _regions(nodes: DataFrame) -> DataFrame:
         for t in range(TREES)
     ])
     prefixes = nodes.select("node", F.inline(keys))
-    dense = prefixes.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    # staged, so adaptive execution can split a prefix with very many nodes in the join back
+    dense = stage_table(prefixes.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "dense")
     near = prefixes.join(dense, "key")
     suffix = F.expr(f"substring(concat(sketch, sketch), {DEPTH} * tree + {DEPTH + 1}, {ORDERED})")
     joined = near.join(nodes.select("node", "n", "sketch"), "node")
@@ -247,11 +248,11 @@ def rest(regions: DataFrame, open_keys: DataFrame, roots: DataFrame, texts_of, s
     mixed = parts.groupBy("key").agg(
         F.count(F.lit(1)).alias("parts"), F.sum("c").alias("all"), F.max(F.struct("c", "root")).alias("top")
     ).filter("parts > 1")
-    mixed = mixed.select(
+    mixed = stage_table(mixed.select(
         "key", F.col("top.root").alias("top"),
         F.ceil((F.col("all") - F.col("top.c")) / NEAR).cast("int").alias("others"),
         F.ceil(F.col("top.c") / NEAR).cast("int").alias("tops"),
-    )
+    ), "mixed")
     side = stage_table(members.join(mixed, "key").withColumn("is_top", F.col("root") == F.col("top")), "members")
     side = side.join(texts_of(side.select("node").distinct()), "node")
     block = F.pmod(F.xxhash64("node"), F.when(F.col("is_top"), F.col("tops")).otherwise(F.col("others"))).cast("int")
@@ -410,9 +411,12 @@ def near_duplicates(
         lambda value: shingles(value, width),
         similar,
     )
-    labels = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = labels.groupBy("root").agg(F.min("label").alias("component_id"), F.min("first").alias("_first"))
-    by_digest = labels.select("digest", "root").join(smallest, "root").select("digest", "component_id", "_first")
+    rooted = firsts.join(roots, "node")
+    smallest = stage_table(rooted.groupBy("root").agg(F.min("label").alias("component_id"), F.min("first").alias("_first")), "smallest")
+    named = rooted.select("node", "root").join(smallest, "root").drop("root")
+    by_digest = firsts.join(named, "node", "left").select(
+        "digest", F.coalesce("component_id", "label").alias("component_id"), F.coalesce("_first", "first").alias("_first")
+    )
     # a digest with very many rows is split by adaptive execution: the other side has one row each
     found = described.select("doc_id", "version", "n", "digest").join(by_digest, "digest", "left")
     component = F.when(F.col("_first").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
