@@ -387,7 +387,7 @@ def linked(regions: DataFrame, texts_of, set_of, similar: int, depth: int = DEPT
     links = first_links(regions, least)
     first = confirmed(links.filter("a is not null"), texts_of, set_of, similar)
     roots = components(first, "a", "b")
-    open_keys = links.filter("a is null").select("key").distinct()
+    open_keys = stage_table(links.filter("a is null").select("key").distinct(), "open_keys")
     second = rest(regions, open_keys, roots, texts_of, set_of, similar, depth, least)
     return components(first.unionByName(second), "a", "b") if second.head(1) else roots
 
