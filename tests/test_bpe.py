@@ -226,3 +226,16 @@ def test_a_second_way_to_spell_a_token_runs_alone_in_its_turn():
     assert order.next_batch() == ([(a + bc, abc)], True)
     assert order.merges[-1] == (*order.ids(a + bc), order.id_of[abc])
     assert [t for t in order.tokens[256:]] == [b"ab", b"bc", b"abc"]
+
+
+def test_first_hundreds_of_merges_need_no_index(spark, monkeypatch):
+    def no_index(words):
+        raise AssertionError("an index of all words was built")
+
+    monkeypatch.setattr(bpe, "pair_index", no_index)
+    monkeypatch.setattr(bpe, "GROUPS_PER_FOLD", 3)
+    rng = random.Random(9)
+    words = {"".join(rng.choices("aabcdefgh", k=rng.randint(1, 8))): rng.randint(1, 9) for _ in range(500)}
+    words |= {"a" * n: n for n in range(1, 12)}
+    table = spark.createDataFrame(list(words.items()), "word string, freq bigint")
+    assert bpe.train_merges(table, 256 + 70).merges == greedy(words, 256 + 70)
