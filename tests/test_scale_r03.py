@@ -44,3 +44,15 @@ def test_token_text_with_nulls_and_wide_ids(spark):
     found = df.select("i", token_hex("ids"), old, joined_ids("ids"), F.array_join(F.col("ids").cast("array<string>"), ","))
     for r in found.collect():
         assert r[1] == r[2] and r[3] == r[4]
+
+
+def test_nfkc_holds_few_strings_at_a_time(monkeypatch):
+    sizes, normal = [], tx._nfkc_slice
+
+    def watched(texts):
+        sizes.append(len(texts))
+        return normal(texts)
+
+    monkeypatch.setattr(tx, "_nfkc_slice", watched)
+    [got] = tx._nfkc.func(iter([pa.array(["ﬁ", None, "a"] * 100)]))
+    assert got.to_pylist() == ["fi", None, "a"] * 100 and max(sizes) <= tx.NFKC_ROWS
