@@ -56,15 +56,29 @@ _PAIR = 1 << 32
 Ids = tuple[np.ndarray, np.ndarray]  # of A and of B
 
 
+class _CheckedPieces(PieceEncoder):
+    """Compares the bytes of a piece when it is new. As long as no piece has ``others``, those of a text,
+    which is its pieces joined, are right."""
+
+    others, table = False, None
+
+    def _encoded(self, piece: str) -> bytes:
+        ids = super()._encoded(piece)
+        own = b"".join(map(self.table.__getitem__, np.frombuffer(ids, np.int32).tolist()))
+        self.others |= own != piece.encode()
+        return ids
+
+
 class Tokenizers:
     """Ids and byte lengths of both sides; ``B`` brings the space in front with it."""
 
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
 
-        self._a = PieceEncoder(a_path, KEEP_SPACE)
+        self._a = _CheckedPieces(a_path, KEEP_SPACE)
         self._b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self._bytes = _byte_level(self._a._tokenizer), _pieces(self._b)
+        self._a.table = self._bytes[0]
         self._lengths = tuple(np.array([len(t) for t in table], np.int64) for table in self._bytes)
         self.sizes = tuple(map(len, self._bytes))
         self._space = self._b.encode("a ")[len(self._b.encode("a")) :]
@@ -75,11 +89,12 @@ class Tokenizers:
         """Ids and byte ends of whole units, of which the first begins with a space; None if the bytes
         of a side are others."""
         b = self._b.encode(spaced[1:]) if len(spaced) > 1 else self._space
-        ids = self._a.encode(spaced).astype(np.int64), np.array(b, np.int64)
-        data = spaced.encode()
-        for own, table in zip(ids, self._bytes):
-            if b"".join(map(table.__getitem__, own.tolist())) != data:
-                return None
+        a, data = self._a.encode(spaced), spaced.encode()
+        if self._a.others and b"".join(map(self._bytes[0].__getitem__, a.tolist())) != data:
+            return None
+        if b"".join(map(self._bytes[1].__getitem__, b)) != data:
+            return None
+        ids = a.astype(np.int64), np.array(b, np.int64)
         return ids, tuple(np.cumsum(length[own]) for own, length in zip(ids, self._lengths))
 
 
