@@ -28,12 +28,14 @@ from textmill.storage import stage_table
 
 SHINGLE = 8
 BANDS, ROWS = 16, 5
+#: Code points of the lines that are hashed together.
+PIECE = 100_000
 #: Five standard deviations of the estimate below 0.8.
 LEAST = 0.57
 
 _random = np.random.default_rng(8)
 _TIMES = _random.integers(1, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_PRIME = np.uint64(0x100000001B3)
+_PRIME = np.array([0x100000001B3], np.uint64)  # an array: its powers wrap around
 
 
 def line_digest(line: str) -> bytes:
@@ -41,19 +43,23 @@ def line_digest(line: str) -> bytes:
 
 
 def _windows(points: np.ndarray) -> np.ndarray:
-    """64-bit hash of every ``SHINGLE`` code points in a row."""
-    n = len(points) - SHINGLE + 1
-    mixed = points[:n].astype(np.uint64)
-    for i in range(1, SHINGLE):
-        mixed = mixed * _PRIME + points[i : n + i]
+    """64-bit hash of every ``SHINGLE`` (a power of two) code points in a row: windows of twice the length each time."""
+    mixed, times, size = points.astype(np.uint64), _PRIME, 1
+    while size < SHINGLE:
+        wide = mixed[:-size] * times
+        wide += mixed[size:]
+        mixed, times, size = wide, times * times, 2 * size
     mixed ^= mixed >> np.uint64(31)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    return mixed ^ (mixed >> np.uint64(29))
+    mixed ^= mixed >> np.uint64(29)
+    return mixed
 
 
 def shingle_set(line: str) -> np.ndarray:
     """The shingles of a line of ``SHINGLE`` or more characters; shorter ones have no signature."""
-    return np.unique(_windows(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)))
+    hashes = _windows(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32))
+    hashes.sort()
+    return hashes[np.append(True, hashes[1:] != hashes[:-1])]
 
 
 def sketches(lines: list[str]) -> np.ndarray:
@@ -62,7 +68,7 @@ def sketches(lines: list[str]) -> np.ndarray:
     begin = 0
     while begin < len(lines):
         end, size = begin, 0
-        while end < len(lines) and (end == begin or size < 200_000):
+        while end < len(lines) and (end == begin or size < PIECE):  # both arrays of hashes stay in a core's cache
             size += len(lines[end])
             end += 1
         sizes = np.array([len(x) for x in lines[begin:end]])
@@ -70,8 +76,11 @@ def sketches(lines: list[str]) -> np.ndarray:
         hashes = np.append((_windows(points) >> np.uint64(32)).astype(np.uint32), np.uint32(0))
         first = np.cumsum(sizes) - sizes
         borders = np.stack([first, first + sizes - SHINGLE + 1], 1).ravel()
+        mixed, least = np.empty_like(hashes), np.empty((BANDS * ROWS, len(borders)), np.uint32)
         for j, times in enumerate(_TIMES):
-            out[begin:end, j] = np.minimum.reduceat(hashes * times, borders)[::2] >> np.uint32(3) & np.uint32(255)
+            np.multiply(hashes, times, out=mixed)
+            np.minimum.reduceat(mixed, borders, out=least[j])
+        out[begin:end] = (least[:, ::2] >> np.uint32(3)).astype(np.uint8).T
         begin = end
     return out
 
